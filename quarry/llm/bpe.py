@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -27,7 +28,9 @@ from .common import documents, passes
 
 END = "</w>"
 #: Words that a Python worker keeps encoded; beyond, it begins anew.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 250_000
+#: Letters that normalise to themselves or their lower case alone, then punctuation: the words of most pieces of text.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
@@ -44,6 +47,23 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(other)) for b in range(256)]
 
 
+LATIN = {ord(c): "".join(byte_letters()[b] for b in c.encode()) for c in map(chr, range(192, 256))}
+
+
+def simple(chunk: str) -> list[str] | None:
+    """The words, in byte letters, of a piece of letters and punctuation; None if it takes more care."""
+    m = SIMPLE.fullmatch(chunk)
+    if m is None:
+        return None
+    a, b = m.groups()
+    if a:
+        a = a.lower()
+        if not a.isascii():
+            a = a.translate(LATIN)
+        return [a, b] if b else [a]
+    return [b] if b else []
+
+
 class TrieEncoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -177,25 +197,28 @@ class TrieEncoder:
 
     def chunks(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, str]]:
         """Ids, ids as text and decoded text of distinct chunks."""
-        new = [c for c in chunks if c not in self.kept]
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
+        cut = [simple(c) for c in chunks]
+        cut = [self.pieces(c) if x is None else x for c, x in zip(chunks, cut)]
+        words = {p for ps in cut for p in ps if isinstance(p, str)}
+        kept = self.kept
+        new = [w for w in words if w not in kept]
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept.clear()
             self.pairs = self.pairs if len(self.pairs) < 1_000_000 else {}
-            new = chunks
-        cut = [self.pieces(c) for c in new]
-        known = self.encode_words({p for ps in cut for p in ps if isinstance(p, str)})
-        fresh = {}
-        for c, ps in zip(new, cut):
+            new = list(words)
+        text = self.text
+        for w, ids in self.encode_words(new).items():
+            kept[w] = (ids, " ".join(map(str, ids)), " ".join([text[i] for i in ids]))
+        out = []
+        for ps in cut:
             if len(ps) == 1 and isinstance(ps[0], str):
-                ids = known[ps[0]]
+                out.append(kept[ps[0]])
             else:
-                ids = tuple(i for p in ps for i in (known[p] if isinstance(p, str) else (p,)))
-            fresh[c] = (ids, " ".join(map(str, ids)), " ".join([self.text[i] for i in ids]))
-        kept = self.kept
-        out = [fresh[c] if c in fresh else kept[c] for c in chunks]
-        for c, x in fresh.items():
-            if len(c) < 200:
-                kept[c] = x
+                parts = [kept[p] if isinstance(p, str) else ((p,), str(p), text[p]) for p in ps]
+                out.append((tuple(i for x in parts for i in x[0]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts])))
+        for w in new:
+            if len(w) > 200:
+                del kept[w]
         return out
 
 

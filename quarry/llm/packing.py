@@ -14,6 +14,7 @@ window's number within it.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,16 +22,21 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .bpe import KEPT_WORDS, default_path, distinct_chunks
+from .bpe import default_path, distinct_chunks, simple
 from .common import documents, passes
 
 WINDOW = 2048
 END_ID = 1
+#: Words whose ids a Python worker keeps; beyond, it begins anew.
+KEPT_WORDS = 400_000
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class WordTokens:
-    """The library's ids of pieces between white space; it drops white space, so they are a text's ids in order."""
+    """The library's ids of pieces between white space; it drops white space, so they are a text's ids in order.
+
+    A piece of letters and punctuation is at most two words; the library's model encodes each new word once.
+    """
 
     def __init__(self, path: str):
         import os
@@ -41,22 +47,37 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = Tokenizer(self.tokenizer.model)
         self.kept: dict[str, bytes] = {}
 
+    def encode(self, tokenizer, texts: list[str]) -> dict[str, bytes]:
+        out = {}
+        for a in range(0, len(texts), 20_000):
+            for t, e in zip(texts[a : a + 20_000], tokenizer.encode_batch_fast(texts[a : a + 20_000], add_special_tokens=False)):
+                out[t] = array("I", e.ids).tobytes()
+        return out
+
+    def chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        cut = [simple(c) for c in chunks]
+        other = self.encode(self.tokenizer, [c for c, x in zip(chunks, cut) if x is None])
+        words = {w for x in cut if x for w in x}
+        kept = self.kept
+        new = [w for w in words if w not in kept]
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept.clear()
+            new = list(words)
+        kept |= self.encode(self.model, new)
+        out = [other[c] if x is None else kept[x[0]] if len(x) == 1 else kept[x[0]] + kept[x[1]] if x else b"" for c, x in zip(chunks, cut)]
+        for w in new:
+            if len(w) > 200:
+                del kept[w]
+        return out
+
     def __call__(self, texts: pa.Array, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids (each with the end id after it), and the n + 1 offsets of the texts there."""
         chunks, which, at = distinct_chunks(texts)
-        new = [c for c in chunks if c not in self.kept]
-        if len(self.kept) + len(new) > KEPT_WORDS:
-            self.kept.clear()
-            new = chunks
-        for a in range(0, len(new), 20_000):
-            for c, e in zip(new[a : a + 20_000], self.tokenizer.encode_batch(new[a : a + 20_000], add_special_tokens=False)):
-                self.kept[c] = np.array(e.ids, "<u4").tobytes()
-        coded = [self.kept[c] for c in chunks]
-        for c in new:
-            if len(c) >= 200:
-                del self.kept[c]
+        coded = self.chunks(chunks)
         ids = np.frombuffer(b"".join(coded), "<u4")
         size = np.array([len(x) // 4 for x in coded], np.int64)
         begin = np.concatenate([[0], np.cumsum(size)])[:-1]
@@ -161,7 +182,7 @@ def pack_documents(df: DataFrame, path: str | None = None, window: int = WINDOW,
         base = TaskContext.get().partitionId() << 32
 
         def items() -> Iterator[tuple[object, np.ndarray]]:
-            for b in passes(batches, text):
+            for b in passes(batches, text, 16 << 20):
                 ids, at = tokens(b.column(text), end)
                 yield from zip(b.column(key).to_pylist(), (ids[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())))
 
