@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, licenses, media, packing, secrets
+from . import bpe, fingerprints, language, licenses, lines, media, packing, secrets, suffixes
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -10,6 +10,8 @@ QUERIES = {
     "op3_licenses": licenses.op3_licenses,
     "op4_media": media.op4_media,
     "op5_packing": packing.op5_packing,
+    "op6_line_dedup": lines.op6_line_dedup,
+    "op8_suffixes": suffixes.op8_suffixes,
     "op9_language": language.op9_language,
     "op10_bpe": bpe.op10_bpe,
 }
@@ -17,4 +19,5 @@ QUERIES = {
 ORACLES = {
     "op2_secrets": secrets.ORACLE_SQL,
     "op3_licenses": licenses.ORACLE_SQL,
+    "op6_line_dedup": lines.ORACLE_SQL,
 }
