@@ -12,8 +12,8 @@ repeated, so its bytes go. What is left are the first documents of each context;
 same anchor (17 more bytes before or after), their windows are compared one by one: by hash, the first document of each
 window is found, and later ones lose it.
 
-Only the text's join with what was found moves whole texts. Equality is that of 64-bit hashes of anchor, context or
-window; contexts are only compared within one 32-bit anchor hash.
+Only the text's join with what was found moves whole texts. Equality of contexts is that of an anchor's 32 bits and a
+context's 48 bits of hash, that of windows is 64 bits.
 
 Cases: a null text counts as empty; texts under 50 bytes lose nothing; a null doc_id is smaller than any; rows with one
 doc_id never repeat each other; equal rows give equal rows; an empty table gives no rows.
@@ -38,6 +38,8 @@ BEFORE = MATCH - ANCHOR  # places of a window's start before an anchor in it
 SIDE = ANCHOR + BEFORE // 2  # of any window, this many bytes from its anchor on or up to its anchor's end lie in it
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_CHARS = 4000
+#: Bytes of text at a time; arrays of 8-byte numbers are made of each.
+PASS = 2 << 20
 
 
 class Hashes:
@@ -93,7 +95,17 @@ def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-SUFFIX = np.dtype([("h", "<u4"), ("context", "<u8"), ("right", "u1"), ("left", "u1"), ("text", "<u2"), ("at", "<u4")])
+SUFFIX = np.dtype([("h", "<u4"), ("context", "<u8"), ("right", "<u2"), ("left", "<u2"), ("text", "<u2"), ("at", "<u4")])
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, and so on: high zeros lie together for the compressor."""
+    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
 
 
 def _suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,10 +117,10 @@ def _suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     left, right = np.maximum(a - BEFORE, begin), np.minimum(a + MATCH, end)
     out = np.zeros(len(a), SUFFIX)
     out["h"] = (hashes(a, a + ANCHOR) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    out["context"] = mix(hashes(left, right) ^ ((a - left).astype(np.uint64) << np.uint64(32)) ^ (right - a).astype(np.uint64))
+    out["context"] = mix(hashes(left, right) ^ ((a - left).astype(np.uint64) << np.uint64(32)) ^ (right - a).astype(np.uint64)) >> np.uint64(16)
     for name, x, y in (("right", a, a + SIDE), ("left", a + ANCHOR - SIDE, a + ANCHOR)):
         has = (x >= begin) & (y <= end)
-        out[name][has] = hashes(x[has], y[has]) % np.uint64(255) + np.uint64(1)
+        out[name][has] = hashes(x[has], y[has]) % np.uint64(65535) + np.uint64(1)
     out["text"], out["at"] = text, a - begin
     return out, leading(data, a)
 
@@ -125,13 +137,13 @@ def _splitters(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame) -> DataFrame:
-    """By document, codes 2 * place + kind of anchors: kind 0, the whole context is repeated; kind 1, windows are to be compared."""
+    """By document, codes 2 * place + kind of anchors: kind 0, the whole context is repeated; kind 1, its windows are to be compared."""
     n = partitions(docs)
     splitters = _splitters(docs, n)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in passes(batches, "text"):
+        for b in passes(batches, "text", PASS):
             for c in (b.slice(i, 60_000) for i in range(0, b.num_rows, 60_000)):
                 data, offsets = flat(c.column("text"))
                 if len(data) < MATCH:
@@ -148,7 +160,7 @@ def _entries(docs: DataFrame) -> DataFrame:
                     used, local = np.unique(part["text"], return_inverse=True)
                     columns = [part[f] for f in ("h", "context", "right", "left")] + [local.astype("<u2"), part["at"], ids[0][used], ids[1][used]]
                     columns[0] = np.diff(columns[0], prepend=np.uint32(0)).astype("<u4")  # they ascend
-                    blobs.append(len(part).to_bytes(4, "little") + pack(b"".join(np.ascontiguousarray(z).tobytes() for z in columns)))
+                    blobs.append(len(part).to_bytes(4, "little") + pack(b"".join(planes(z) for z in columns)))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "suffixes"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,10 +172,10 @@ def _entries(docs: DataFrame) -> DataFrame:
                 m = int.from_bytes(blob[:4], "little")
                 raw = unpack.decompress(blob[4:])
                 at, columns = 0, []
-                for kind in ("<u4", "<u8", "u1", "u1", "<u2", "<u4"):
-                    columns.append(np.frombuffer(raw, kind, m, at))
+                for kind in ("<u4", "<u8", "<u2", "<u2", "<u2", "<u4"):
+                    columns.append(from_planes(raw, kind, m, at))
                     at += m * np.dtype(kind).itemsize
-                ids = np.frombuffer(raw, "<i8", -1, at).reshape(2, -1)
+                ids = np.stack([from_planes(raw, "<i8", (len(raw) - at) // 16, x) for x in (at, (len(raw) + at) // 2)])
                 text = columns[4]
                 held.append([np.cumsum(columns[0], dtype=np.uint32), *columns[1:4], ids[0][text], ids[1][text], columns[5]])
         if not held:
@@ -182,7 +194,7 @@ def _entries(docs: DataFrame) -> DataFrame:
         for side in (right, left):
             s = side[first]
             has = np.flatnonzero(s)
-            key = h[first][has].astype(np.uint64) << np.uint64(8) | s[has]
+            key = h[first][has].astype(np.uint64) << np.uint64(16) | s[has]
             o = np.lexsort((least[has], key))
             k, d = key[o], least[has][o]
             starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, int)
@@ -192,7 +204,7 @@ def _entries(docs: DataFrame) -> DataFrame:
         keep = whole | compare[which]
         for a in range(0, len(keep), 1 << 20):
             k = np.flatnonzero(keep[a : a + (1 << 20)]) + a
-            code = place[k].astype(np.int64) * 2 + (1 - whole[k].astype(np.int64))
+            code = place[k].astype(np.int64) * 2 + ~whole[k]
             yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(code)], ["_did", "_hash", "code"])
 
     dealt = docs.mapInArrow(deal, "bucket int, suffixes binary").repartitionById(len(splitters) + 1, F.col("bucket"))
@@ -200,29 +212,72 @@ def _entries(docs: DataFrame) -> DataFrame:
     return found.groupBy("_did", "_hash").agg(F.collect_list("code").alias("codes"))
 
 
-def _windows(df: DataFrame) -> DataFrame:
-    """Hashes of the windows to be compared: (_window, _did, _hash, _start)."""
+def _later_windows(df: DataFrame, n: int) -> DataFrame:
+    """By document, (place, bits) of anchors: bit s stands for the window that starts at place - BEFORE + s, if a document with a smaller doc_id has it too."""
+    span = BEFORE + MATCH
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in passes(batches, "text"):
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in passes(batches, "text", PASS):
             data, offsets = flat(b.column("text"))
-            codes = b.column("codes").to_pylist()
-            hashes = Hashes(data)
-            out = [[], [], []]
-            for i, c in enumerate(codes):
-                c = np.array(c, np.int64)
-                a = c[c & 1 == 1] >> 1
-                if len(a):
-                    n = int(offsets[i + 1] - offsets[i])
-                    s = np.unique(a[:, None] - np.arange(BEFORE + 1))
-                    s = s[(s >= 0) & (s + MATCH <= n)]
-                    for x, y in zip(out, (hashes(s + offsets[i], s + offsets[i] + MATCH).view(np.int64), np.full(len(s), i), s)):
-                        x.append(y)
-            if out[0]:
-                h, i, s = (np.concatenate(x) for x in out)
-                yield pa.RecordBatch.from_arrays([pa.array(h), b.column("_did").take(pa.array(i)), b.column("_hash").take(pa.array(i)), pa.array(s.astype(np.int32))], ["_window", "_did", "_hash", "_start"])
-
-    return df.where(F.exists("codes", lambda c: c % 2 == 1)).select("_did", "_hash", "text", "codes").mapInArrow(run, "_window long, _did long, _hash long, _start int")
+            places = [np.array(c, np.int64) for c in b.column("codes").to_pylist()]
+            places = [c[c & 1 == 1] >> 1 for c in places]
+            text = np.repeat(np.arange(len(places)), [len(c) for c in places])
+            at = np.concatenate(places)
+            a = at + offsets[text]
+            h = Hashes(data)(a, a + ANCHOR)
+            left, right = np.minimum(at, BEFORE), np.minimum(offsets[text + 1] - a, MATCH)
+            bucket = (h >> np.uint64(32)) % np.uint64(n)
+            order = np.lexsort((h, bucket))
+            bucket, text, at, a, left, right = (x[order] for x in (bucket.astype(np.int64), text, at, a, left, right))
+            ids = np.stack([b.column("_did").to_numpy(zero_copy_only=False), b.column("_hash").to_numpy(zero_copy_only=False)])
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            blobs = []
+            for x, y in zip(cuts.tolist(), [*cuts.tolist()[1:], len(at)]):
+                used, local = np.unique(text[x:y], return_inverse=True)
+                around = data[np.clip(a[x:y, None] + np.arange(-BEFORE, MATCH), 0, len(data) - 1)]
+                columns = [left[x:y].astype("u1"), right[x:y].astype("u1"), local.astype("<u4"), at[x:y].astype("<u4"), ids[0][used], ids[1][used]]
+                blobs.append((y - x).to_bytes(4, "little") + pack(around.tobytes() + b"".join(map(planes, columns))))
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[cuts].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "contexts"])
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        held = []
+        for b in batches:
+            for blob in b.column("contexts"):
+                blob = blob.as_py()
+                m = int.from_bytes(blob[:4], "little")
+                raw = unpack.decompress(blob[4:])
+                around, p = np.frombuffer(raw, np.uint8, m * span).reshape(m, span), m * span
+                left, right, text, at = (from_planes(raw, kind, m, p + m * skip) for kind, skip in (("u1", 0), ("u1", 1), ("<u4", 2), ("<u4", 6)))
+                p += 10 * m
+                ids = np.stack([from_planes(raw, "<i8", (len(raw) - p) // 16, x) for x in (p, (len(raw) + p) // 2)])
+                held.append((around, left, right, ids[0][text], ids[1][text], at))
+        if not held:
+            return
+        around, left, right, did, doc_hash, at = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        bits = np.zeros(len(at), np.int64)
+        rows = np.arange(len(at))
+        for s in range(BEFORE + 1):
+            has = rows[(s >= BEFORE - left.astype(np.int64)) & (s + MATCH <= BEFORE + right.astype(np.int64))]
+            if not len(has):
+                continue
+            h = Hashes(np.ascontiguousarray(around[has, s : s + MATCH]).ravel())(np.arange(len(has)) * MATCH, np.arange(1, len(has) + 1) * MATCH)
+            order = np.lexsort((did[has], h))
+            new = np.ones(len(h), bool)
+            new[1:] = h[order][1:] != h[order][:-1]
+            d = did[has][order]
+            later = has[order[d > d[np.flatnonzero(new)][np.cumsum(new) - 1]]]
+            bits[later] |= 1 << s
+        for a in range(0, len(at), 1 << 20):
+            k = np.flatnonzero(bits[a : a + (1 << 20)]) + a
+            yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(at[k].astype(np.int64)), pa.array(bits[k])], ["_did", "_hash", "place", "bits"])
+
+    some = df.where(F.exists("codes", lambda c: c % 2 == 1)).select("_did", "_hash", "text", "codes")
+    dealt = some.mapInArrow(deal, "bucket int, contexts binary").repartitionById(n, F.col("bucket"))
+    found = dealt.mapInArrow(sort, "_did long, _hash long, place long, bits long")
+    return found.groupBy("_did", "_hash").agg(F.collect_list("place").alias("places"), F.collect_list("bits").alias("bits"))
 
 
 def removed_mask(n: int, contexts: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -244,20 +299,20 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep_
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_did"), F.xxhash64("text").alias("_hash"), "text")
     entries = cut(_entries(docs.select("_did", "_hash", "text")), "suffixes")
     joined = docs.join(entries, ["_did", "_hash"], "left")
-    windows = _windows(docs.join(entries, ["_did", "_hash"]))
-    first = windows.groupBy("_window").agg(F.min("_did").alias("_least"), F.max("_did").alias("_most")).where("_least < _most").drop("_most")
-    later = windows.join(first, "_window").where("_did > _least").groupBy("_did", "_hash").agg(F.collect_set("_start").alias("starts"))
+    later = _later_windows(docs.join(entries, ["_did", "_hash"]), partitions(docs))
     schema = RESULT + ", kept binary" * keep_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in passes(batches, "text"):
+        for b in passes(batches, "text", PASS):
             data, offsets = flat(b.column("text"))
             removed, spans, kept = [], [], []
-            for i, (c, s) in enumerate(zip(b.column("codes").to_pylist(), b.column("starts").to_pylist())):
+            for i, (c, places, bits) in enumerate(zip(*(b.column(x).to_pylist() for x in ("codes", "places", "bits")))):
                 part = data[offsets[i] : offsets[i + 1]]
-                if c or s:
-                    c = np.array(c or [], np.int64)
-                    gone = removed_mask(len(part), c[c & 1 == 0] >> 1, np.array(s or [], np.int64))
+                if c:
+                    c = np.array(c, np.int64)
+                    at, bits = np.array(places or [], np.int64), np.array(bits or [], np.int64)
+                    starts = [at[bits >> s & 1 == 1] - BEFORE + s for s in range(BEFORE + 1)] if len(at) else [at]
+                    gone = removed_mask(len(part), c[c & 1 == 0] >> 1, np.concatenate(starts))
                     removed.append(int(gone.sum()))
                     spans.append(int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)))
                     kept.append(part[~gone].tobytes())
@@ -268,7 +323,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", keep_
             columns = [b.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary())] if keep_bytes else columns, [x.split()[0] for x in schema.split(", ")])
 
-    return joined.join(later, ["_did", "_hash"], "left").select("doc_id", "text", "codes", "starts").mapInArrow(run, schema)
+    return joined.join(later, ["_did", "_hash"], "left").select("doc_id", "text", "codes", "places", "bits").mapInArrow(run, schema)
 
 
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
