@@ -73,7 +73,7 @@ def _double(left: DataFrame, right: DataFrame, step: Column) -> DataFrame:
 def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Later places of repeated runs: (_did, _hash, _pos, need) for `need` lines from line _pos (among those with a word) on."""
     every = line_suffixes(df, key, text, min_words)
-    level = cut(every.join(_intervals(every, ["a", "b"]), ["a", "b"]), "lines")
+    level = cut(every.join(cut(_intervals(every, ["a", "b"]), "names"), ["a", "b"]), "lines")
     later = F.struct(*_PLACE) != F.col("first")
     out = [level.where((F.col("need") == 1) & later).select(*_PLACE, "need")]
     k = 1
