@@ -1,11 +1,67 @@
-"""The corpus pipeline: stages from documents to packed training sequences."""
+"""The corpus pipeline: from documents to packed training sequences in five stages.
 
-STAGES = []
+1. language: texts without a letter go, and those that cost more than their bytes in every language.
+2. line_dedup: later copies of repeated line runs are deleted; a text of which nothing is left goes.
+3. jaccard: of each group of near duplicates (five-word shingles, 0.8) the document with the smallest doc_id stays.
+4. secrets: owner-specific live-looking credentials are replaced by a mark.
+5. packing: what is left is tokenised and packed into windows.
+
+All stages but the last return the columns of documents; n_chars follows the text. A null text counts as empty, so the
+first stage drops it. An empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.llm import jaccard, language, lines, packing, secrets
+from quarry.llm.common import cut, documents
+
+#: A text is in none of the languages if the best one's code is longer than the bytes themselves.
+MOST_BITS = 8.0
+NEAR_WORDS, NEAR_OF, NEAR_IN = 5, 80, 100
+
+
+def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
+    return docs.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in columns])
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.identify(docs, language.learn(docs))
+    return found.where((F.col("lang_pred") != language.NONE) & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return _counted(kept, docs.columns)
+
+
+def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs, q=NEAR_WORDS, of=NEAR_OF, in_=NEAR_IN)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _counted(secrets.redact(docs), docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language", language_stage),
+    ("line_dedup", line_stage),
+    ("jaccard", jaccard_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
+]
+#: Neither code lengths nor tokens nor packing can be said in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, language, licenses, lines, media, packing, secrets, suffixes
+from . import bpe, fingerprints, jaccard, language, licenses, lines, media, packing, secrets, suffixes
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1_fingerprints,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_media": media.op4_media,
     "op5_packing": packing.op5_packing,
     "op6_line_dedup": lines.op6_line_dedup,
+    "op7_jaccard": jaccard.op7_jaccard,
     "op8_suffixes": suffixes.op8_suffixes,
     "op9_language": language.op9_language,
     "op10_bpe": bpe.op10_bpe,

@@ -87,6 +87,7 @@ def decode(s: str) -> np.ndarray:
 
 def fingerprint(df: DataFrame, text: str = "text", k: int = K, q: int = WORDS) -> DataFrame:
     """df with the columns fingerprint (string) and shingle_estimate (double); no shuffle."""
+    df = df.drop("fingerprint", "shingle_estimate")
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema)}, fingerprint string, shingle_estimate double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

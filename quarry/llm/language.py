@@ -126,7 +126,8 @@ def held_out(key: str = "doc_id"):
 
 
 def identify(df: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
-    """df with lang_pred, score and bits_per_byte; no shuffle. Only the text is looked at."""
+    """df with lang_pred, score and bits_per_byte (in place of columns of those names); no shuffle. Only the text is looked at."""
+    df = df.drop("lang_pred", "score", "bits_per_byte")
     shared = df.sparkSession.sparkContext.broadcast(trees)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 

@@ -72,10 +72,10 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def scan(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """One row per row of df: key, counts by base kind, digest of the base spans, all spans, and counts of added kinds."""
+def marked(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row of df: doc_id, `base` and `added` spans, and the columns to carry."""
     columns = [F.col(key).alias("doc_id"), F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), F.col(text).alias("text")]
-    base = candidates(df.select(*columns))
+    base = candidates(df.select(*columns, *carry))
     base = base.withColumn("row_key", F.when(F.size("base") > 0, F.sha2(F.to_json(F.struct("doc_id", "owner", "repository", "base")), 256)))
     base = cut(base, "secrets")
     found = base.where(F.size("base") > 0).select("row_key", "owner", "repository", F.explode("base").alias("span"))
@@ -87,21 +87,47 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "s
         (F.col("span.end") - F.char_length("span.value")).alias("start"), F.when(kind == "copied", 3).otherwise(4).alias("order"),
         F.col("span.end").alias("end"), kind.alias("kind"), F.lit("").alias("value"),
     )
-    marked = found.join(known, "value_hash").where(kind.isNotNull()).groupBy("row_key").agg(F.collect_set(added).alias("added"))
-    with_some = base.where(F.size("base") > 0).join(marked, "row_key", "left")
-    none = F.array().cast(marked.schema["added"].dataType)
+    spans = found.join(known, "value_hash").where(kind.isNotNull()).groupBy("row_key").agg(F.collect_set(added).alias("added"))
+    with_some = base.where(F.size("base") > 0).join(spans, "row_key", "left")
+    none = F.array().cast(spans.schema["added"].dataType)
     every = with_some.unionByName(base.where(F.size("base") == 0).withColumn("added", none))
-    every = every.withColumn("added", F.coalesce("added", none))
+    return every.select("doc_id", "base", F.coalesce("added", none).alias("added"), *carry)
+
+
+def scan(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id") -> DataFrame:
+    """One row per row of df: key, counts by base kind, digest of the base spans, all spans, and counts of added kinds."""
 
     def count(name: str, where: str = "base") -> Column:
         return F.size(F.filter(where, lambda x: x["kind"] == name)).cast("long")
 
-    return every.select(
+    return marked(df, key, text, owner, repository).select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")], F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), *[count(k, "added").alias(f"n_{k}") for k in ("copied", "live")],
     )
 
 
+def redact(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id", mark: str = "<secret>") -> DataFrame:
+    """df with every owner-specific live-looking value in its text replaced; copied examples stay as they are.
+
+    Rows with equal key, owner, repository and text have the same values, so they are looked up once.
+    """
+    named = df.withColumn("_hash", F.xxhash64(F.lit(5), text, owner, repository))
+    spans = F.array_sort(F.transform(F.filter("added", lambda x: x["kind"] == "live"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
+    live = marked(named, key, text, owner, repository, ("_hash",)).select(F.col("doc_id").alias("_key"), "_hash", spans.alias("_spans"))
+    live = live.where(F.size("_spans") > 0).groupBy("_key", "_hash").agg(F.first("_spans").alias("_spans"))
+    rows = named.join(live, F.col(key).eqNullSafe(F.col("_key")) & (named["_hash"] == live["_hash"]), "left").drop(live["_hash"])
+
+    def step(acc: Column, x: Column) -> Column:
+        before = F.col(text).substr(acc["at"] + 1, x["start"] - acc["at"])
+        new = F.struct(x["end"].alias("at"), F.concat(acc["out"], before, F.lit(mark)).alias("out"))
+        longer = F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))
+        return F.when(x["start"] >= acc["at"], new).otherwise(longer)
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    new = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.col(text).substr(acc["at"] + 1, F.char_length(text))))
+    return rows.select(*[F.when(F.col("_spans").isNull(), F.col(text)).otherwise(new).alias(text) if c == text else F.col(c) for c in df.columns])
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
