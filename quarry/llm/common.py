@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Bytes of text that one vectorised pass works on; a longer single text makes its own pass.
-PASS_BYTES = 8 << 20
+PASS_BYTES = 4 << 20
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 

@@ -106,10 +106,13 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_word
     count = F.when(F.col(text).isNull(), 0).otherwise(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1)
     first = F.size(F.array_except("_gone", F.transform("_gone", lambda p: p + 1)))
     none = F.col("_gone").isNull()
-    return rows.select(
-        *[c for c in columns if c != text], count.cast("long").alias("n_lines"), F.when(none, 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
+    out = F.struct(
+        count.cast("long").alias("n_lines"), F.when(none, 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
         F.when(none, 0).otherwise(first).cast("long").alias("n_runs"), F.when(none, F.col(text)).otherwise(new).alias(text),
-    ).select(*columns, *ADDED)
+    )
+    # a generator, so that conditions on the new text are not computed inside the join, line by line
+    rows = rows.select(*[c for c in columns if c != text], F.explode(F.array(out)).alias("_out"))
+    return rows.select(*[F.col("_out")[c].alias(c) if c == text else F.col(c) for c in columns], *[F.col("_out")[c].alias(c) for c in ADDED])
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

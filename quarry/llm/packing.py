@@ -28,7 +28,7 @@ from .common import documents, passes
 WINDOW = 2048
 END_ID = 1
 #: Words whose ids a Python worker keeps; beyond, it begins anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -182,7 +182,7 @@ def pack_documents(df: DataFrame, path: str | None = None, window: int = WINDOW,
         base = TaskContext.get().partitionId() << 32
 
         def items() -> Iterator[tuple[object, np.ndarray]]:
-            for b in passes(batches, text, 16 << 20):
+            for b in passes(batches, text, 8 << 20):
                 ids, at = tokens(b.column(text), end)
                 yield from zip(b.column(key).to_pylist(), (ids[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())))
 
