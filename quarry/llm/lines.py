@@ -26,11 +26,11 @@ from .common import cut, documents
 
 MIN_WORDS = 5
 ADDED = ("n_lines", "n_removed", "n_runs")
-_PLACE = ("_did", "_hash", "_pos")
+_PLACE = ("quarry__did", "quarry__hash", "quarry__pos")
 
 
 def _keys(key: str, text: str) -> list[Column]:
-    return [F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("_did"), F.xxhash64(F.lit(3), F.col(text)).alias("_hash")]
+    return [F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("quarry__did"), F.xxhash64(F.lit(3), F.col(text)).alias("quarry__hash")]
 
 
 def _full(lines: Column) -> Column:
@@ -41,7 +41,7 @@ def _full(lines: Column) -> Column:
 def line_suffixes(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """Every line that holds a word: its place, its 128-bit name, and the lines that min_words words from there on take (null: too few)."""
     words = df.where(F.col(text).isNotNull()).select(*_keys(key, text), F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
-    words = words.select("_did", "_hash", F.transform("lines", lambda x: F.struct(
+    words = words.select("quarry__did", "quarry__hash", F.transform("lines", lambda x: F.struct(
         F.xxhash64(x).alias("a"), F.xxhash64(F.lit(11), x).alias("b"),
         F.least(F.lit(min_words), F.size(F.filter(F.split(x, r"[\x20\x09-\x0D]+", min_words + 2), lambda w: F.char_length(w) > 0))).alias("w"),
     )).alias("lines"))
@@ -54,7 +54,7 @@ def line_suffixes(df: DataFrame, key: str, text: str, min_words: int) -> DataFra
             lambda acc: F.when(acc["sum"] >= min_words, acc["n"]),
         )
 
-    rows = words.select("_did", "_hash", F.posexplode(F.transform("lines", lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), need(i).alias("need")))).alias("_pos", "x"))
+    rows = words.select("quarry__did", "quarry__hash", F.posexplode(F.transform("lines", lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), need(i).alias("need")))).alias("quarry__pos", "x"))
     return rows.select(*_PLACE, "x.a", "x.b", "x.need")
 
 
@@ -67,11 +67,11 @@ def _intervals(rows: DataFrame, name: list[str]) -> DataFrame:
 def _double(left: DataFrame, right: DataFrame, step: Column) -> DataFrame:
     """left's suffixes with right's name, as c and d, of the suffix `step` lines on."""
     there = right.select(*[F.col(c).alias("r" + c) for c in _PLACE], F.col("a").alias("c"), F.col("b").alias("d"))
-    return left.join(there, (F.col("_did") == F.col("r_did")) & (F.col("_hash") == F.col("r_hash")) & (F.col("_pos") + step == F.col("r_pos"))).drop(*["r" + c for c in _PLACE])
+    return left.join(there, (F.col("quarry__did") == F.col("rquarry__did")) & (F.col("quarry__hash") == F.col("rquarry__hash")) & (F.col("quarry__pos") + step == F.col("rquarry__pos"))).drop(*["r" + c for c in _PLACE])
 
 
 def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Later places of repeated runs: (_did, _hash, _pos, need) for `need` lines from line _pos (among those with a word) on."""
+    """Later places of repeated runs: (key, hash, pos, need) for `need` lines from line pos (among those with a word) on."""
     every = line_suffixes(df, key, text, min_words)
     level = cut(every.join(cut(_intervals(every, ["a", "b"]), "names"), ["a", "b"]), "lines")
     later = F.struct(*_PLACE) != F.col("first")
@@ -94,25 +94,25 @@ def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_wo
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """df with later copies of repeated runs deleted from its text, and n_lines, n_removed, n_runs."""
     runs = repeated_runs(df, key, text, min_words)
-    each = runs.select("_did", "_hash", F.explode(F.sequence(F.col("_pos"), F.col("_pos") + F.col("need") - 1)).alias("_pos"))
-    gone = each.groupBy("_did", "_hash").agg(F.array_sort(F.collect_set("_pos")).alias("_gone"))
+    each = runs.select("quarry__did", "quarry__hash", F.explode(F.sequence(F.col("quarry__pos"), F.col("quarry__pos") + F.col("need") - 1)).alias("quarry__pos"))
+    gone = each.groupBy("quarry__did", "quarry__hash").agg(F.array_sort(F.collect_set("quarry__pos")).alias("quarry__gone"))
     columns = [c for c in df.columns if c not in ADDED]
-    rows = df.select(*columns, *_keys(key, text)).join(gone, ["_did", "_hash"], "left")
-    lines = F.col("_lines")
-    rows = rows.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split(text, "\n")))
-    rows = rows.withColumn("_full", _full(lines)).withColumn("_out", F.transform("_gone", lambda p: F.get(F.col("_full"), p)))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_out")
+    rows = df.select(*columns, *_keys(key, text)).join(gone, ["quarry__did", "quarry__hash"], "left")
+    lines = F.col("quarry__lines")
+    rows = rows.withColumn("quarry__lines", F.when(F.col("quarry__gone").isNotNull(), F.split(text, "\n")))
+    rows = rows.withColumn("quarry__full", _full(lines)).withColumn("quarry__out", F.transform("quarry__gone", lambda p: F.get(F.col("quarry__full"), p)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "quarry__out")
     new = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     count = F.when(F.col(text).isNull(), 0).otherwise(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1)
-    first = F.size(F.array_except("_gone", F.transform("_gone", lambda p: p + 1)))
-    none = F.col("_gone").isNull()
+    first = F.size(F.array_except("quarry__gone", F.transform("quarry__gone", lambda p: p + 1)))
+    none = F.col("quarry__gone").isNull()
     out = F.struct(
-        count.cast("long").alias("n_lines"), F.when(none, 0).otherwise(F.size("_gone")).cast("long").alias("n_removed"),
+        count.cast("long").alias("n_lines"), F.when(none, 0).otherwise(F.size("quarry__gone")).cast("long").alias("n_removed"),
         F.when(none, 0).otherwise(first).cast("long").alias("n_runs"), F.when(none, F.col(text)).otherwise(new).alias(text),
     )
     # a generator, so that conditions on the new text are not computed inside the join, line by line
-    rows = rows.select(*[c for c in columns if c != text], F.explode(F.array(out)).alias("_out"))
-    return rows.select(*[F.col("_out")[c].alias(c) if c == text else F.col(c) for c in columns], *[F.col("_out")[c].alias(c) for c in ADDED])
+    rows = rows.select(*[c for c in columns if c != text], F.explode(F.array(out)).alias("quarry__out"))
+    return rows.select(*[F.col("quarry__out")[c].alias(c) if c == text else F.col(c) for c in columns], *[F.col("quarry__out")[c].alias(c) for c in ADDED])
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,11 +111,11 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
 
     Rows with equal key, owner, repository and text have the same values, so they are looked up once.
     """
-    named = df.withColumn("_hash", F.xxhash64(F.lit(5), text, owner, repository))
+    named = df.withColumn("quarry__hash", F.xxhash64(F.lit(5), text, owner, repository))
     spans = F.array_sort(F.transform(F.filter("added", lambda x: x["kind"] == "live"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-    live = marked(named, key, text, owner, repository, ("_hash",)).select(F.col("doc_id").alias("_key"), "_hash", spans.alias("_spans"))
-    live = live.where(F.size("_spans") > 0).groupBy("_key", "_hash").agg(F.first("_spans").alias("_spans"))
-    rows = named.join(live, F.col(key).eqNullSafe(F.col("_key")) & (named["_hash"] == live["_hash"]), "left").drop(live["_hash"])
+    live = marked(named, key, text, owner, repository, ("quarry__hash",)).select(F.col("doc_id").alias("quarry__key"), "quarry__hash", spans.alias("quarry__spans"))
+    live = live.where(F.size("quarry__spans") > 0).groupBy("quarry__key", "quarry__hash").agg(F.first("quarry__spans").alias("quarry__spans"))
+    rows = named.join(live, F.col(key).eqNullSafe(F.col("quarry__key")) & (named["quarry__hash"] == live["quarry__hash"]), "left").drop(live["quarry__hash"])
 
     def step(acc: Column, x: Column) -> Column:
         before = F.col(text).substr(acc["at"] + 1, x["start"] - acc["at"])
@@ -124,8 +124,8 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
         return F.when(x["start"] >= acc["at"], new).otherwise(longer)
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    new = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.col(text).substr(acc["at"] + 1, F.char_length(text))))
-    return rows.select(*[F.when(F.col("_spans").isNull(), F.col(text)).otherwise(new).alias(text) if c == text else F.col(c) for c in df.columns])
+    new = F.aggregate("quarry__spans", start, step, lambda acc: F.concat(acc["out"], F.col(text).substr(acc["at"] + 1, F.char_length(text))))
+    return rows.select(*[F.when(F.col("quarry__spans").isNull(), F.col(text)).otherwise(new).alias(text) if c == text else F.col(c) for c in df.columns])
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
