@@ -42,20 +42,24 @@ def median_hash(v: Column) -> Column:
     return F.aggregate(rest, F.lit(0).cast("long"), lambda h, x: h * 2 + F.when(x > median, 1).otherwise(0))
 
 
-def crop_box(x: Column, y: Column, w: Column, h: Column, width: int, height: int, scale: float, least: int) -> Column:
+def crop_box_of(x: Column, y: Column, w: Column, h: Column, width: Column, height: Column, scale: float, least: int) -> Column:
     """Square box around a detection, moved down by 0.15 h and into the image; null if it doesn't fit."""
     side = F.greatest(F.lit(float(least)), F.rint(F.greatest(w, h) * scale))
     left = F.rint(x + w / 2 - side / 2)
     top = F.rint(y + h / 2 + h * 0.15 - side / 2)
-    x1 = F.greatest(F.lit(0.0), F.least(left, width - side))
-    y1 = F.greatest(F.lit(0.0), F.least(top, height - side))
+    x1 = F.least(F.greatest(F.lit(0.0), left), width - side)
+    y1 = F.least(F.greatest(F.lit(0.0), top), height - side)
     box = F.struct(*[c.cast("int").alias(n) for c, n in ((x1, "x1"), (y1, "y1"), (x1 + side, "x2"), (y1 + side, "y2"))])
-    return F.when(side <= min(width, height), box)
+    return F.when(side <= F.least(width, height), box)
+
+
+def crop_box(x: Column, y: Column, w: Column, h: Column, width: int, height: int, scale: float, least: int) -> Column:
+    return crop_box_of(x, y, w, h, F.lit(width), F.lit(height), scale, least)
 
 
 def output_stem(name: Column, kind: Column, index: Column) -> Column:
     """File name of a materialised item: originals keep theirs, crops get their kind and number."""
-    clean = F.regexp_replace(kind, "[^a-zA-Z0-9_-]", "")
+    clean = F.regexp_replace(kind, "[^a-zA-Z0-9_-]+", "_")
     clean = F.regexp_replace(clean, "^_+|_+$", "")
     clean = F.when(clean == "", "crop").otherwise(clean)
     stem = F.regexp_replace(name, r"\.[^.]*$", "")

@@ -2,50 +2,124 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+WEIGHTS = {
+    "quality": 0.3, "coverage": 0.5, "novelty": 0.2, "top_groups": 3, "novelty_start": 0.2, "redundancy_start": 0.3, "redundancy": 0.12, "repeat": 0.08,
+    "soft_focus": 0.12, "soft_start": 0.52, "fail_risk": 0.7,
+}
+#: A pool up to this many rows is one task's; a larger one stays distributed, with a pass over it for each pick.
+ONE_TASK_ROWS = 200_000
+#: Scores that agree to so many decimals are ties, which quality and then record_id decide.
+DECIMALS = 8
+
+
+@dataclass
+class Picks:
+    """What the picks so far have changed: coverage per category, uses per burst, vectors and ids chosen."""
+
+    covered: np.ndarray
+    used: dict[str, int] = field(default_factory=dict)
+    vectors: list[np.ndarray] = field(default_factory=list)
+    ids: list = field(default_factory=list)
+
+    def take(self, ident, burst: str, vector: np.ndarray, evidence: np.ndarray) -> None:
+        self.ids.append(ident)
+        self.vectors.append(vector)
+        self.covered = self.covered + evidence
+        if burst:
+            self.used[burst] = self.used.get(burst, 0) + 1
+
+
+@dataclass(frozen=True)
+class Rule:
+    """The score of a row given the picks so far."""
+
+    member: np.ndarray
+    weight: np.ndarray
+    target: np.ndarray
+    p: dict
+    similar_before: bool
 
-WEIGHTS = {"quality": 0.3, "coverage": 0.5, "novelty": 0.2, "top_groups": 3, "novelty_start": 0.2, "redundancy_start": 0.3, "redundancy": 0.12, "repeat": 0.08}
+    def scores(self, pool: dict[str, np.ndarray], similar: np.ndarray, picks: Picks) -> np.ndarray:
+        p, target = self.p, self.target
+        deficit = np.where(target > 1e-6, np.maximum(target - picks.covered, 0) / np.maximum(target, 1e-6), 0.0)
+        gain = pool["evidence"] * deficit * self.weight
+        best = -np.sort(-np.stack([gain[:, m].max(axis=1) for m in self.member], axis=1), axis=1)[:, : p["top_groups"]]
+        positive = best > 1e-6
+        coverage = np.where(positive, best, 0).sum(axis=1) / np.maximum(1, positive.sum(axis=1))
+        first = not picks.ids and not self.similar_before
+        novelty = np.full(len(similar), 0.5) if first else np.clip((1 - similar) / max(1e-6, 1 - p["novelty_start"]), 0, 1)
+        redundant = p["redundancy"] * np.clip((similar - p["redundancy_start"]) / max(1e-6, 1 - p["redundancy_start"]), 0, 1) ** 2
+        soft = p["soft_focus"] * np.clip((pool["focus_risk"] - p["soft_start"]) / max(1e-6, p["fail_risk"] - p["soft_start"]), 0, 1)
+        uses = pool["uses"] + np.array([picks.used.get(b, 0) for b in pool["burst"]])
+        repeat = p["repeat"] * np.where(pool["burst"] == "", 0, np.minimum(3, uses))
+        total = p["quality"] * pool["quality"] + p["coverage"] * coverage + p["novelty"] * novelty
+        return np.round(total - pool["penalty"] - redundant - soft - repeat, DECIMALS)
 
 
-def select_greedy(pool: DataFrame, group_of: list[str], weight: list[float], targets: list[float], picks: int, p: dict = WEIGHTS) -> DataFrame:
-    """(record_id, pick) for a pool (record_id, quality, penalty, burst, vector, evidence): the picks in order.
+def _arrays(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+    out = {c: pdf[c].fillna(0).to_numpy(float) for c in ("quality", "penalty", "focus_risk", "uses")}
+    out |= {c: np.stack([np.asarray(x, float) for x in pdf[c]]) for c in ("vector", "evidence")}
+    return out | {"burst": pdf["burst"].fillna("").to_numpy(object), "record_id": pdf["record_id"].to_numpy(), "similar": pdf["similar"].fillna(-1.0).to_numpy(float)}
 
-    Every pick needs the scores of the whole pool after the one before, so the pool is one group; it holds what passed
-    all gates, one row per item.
+
+def _best(pool: dict[str, np.ndarray], score: np.ndarray) -> int:
+    return int(np.lexsort((pool["record_id"], -pool["quality"], -score))[0])
+
+
+def select_greedy(pool: DataFrame, group_of: list[str], weight: list[float], targets: list[float], picks: int, p: dict = WEIGHTS, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """(record_id, pick): the picks in order, as many as the pool allows.
+
+    pool: record_id, quality, penalty, vector, evidence (one per category), and if present burst, focus_risk, similar
+    (largest similarity to what was chosen before; -1 or null: none) and uses (of its burst before); nulls count as
+    none. Every pick needs all rows' scores after the one before. Both ways give the same picks.
     """
-    groups = sorted(set(group_of))
-    member = np.array([[g == x for x in group_of] for g in groups])
-    w = np.array(weight) / max(1.0, max(weight))
-    target = np.array(targets)
+    defaults = {"burst": F.lit(""), "focus_risk": F.lit(0.0), "similar": F.lit(-1.0), "uses": F.lit(0)}
+    pool = pool.select("record_id", "quality", "penalty", "vector", "evidence", *[F.col(c) if c in pool.columns else d.alias(c) for c, d in defaults.items()])
+    member = np.array([[g == x for x in group_of] for g in sorted(set(group_of))])
+    facts = pool.agg(F.count("*").alias("n"), F.max("similar").alias("s")).first()
+    rule = Rule(member, np.array(weight) / max(1.0, max(weight)), np.array(targets), p, facts["s"] is not None and facts["s"] > -0.5)
+    kind = dict(pool.dtypes)["record_id"]
+    if facts["n"] > one_task_rows:
+        return _by_passes(pool, rule, min(picks, facts["n"]), kind)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("record_id").reset_index(drop=True)
-        vectors, evidence = np.stack(pdf["vector"].to_numpy()), np.stack(pdf["evidence"].to_numpy())
-        quality, penalty = pdf["quality"].to_numpy(float), pdf["penalty"].to_numpy(float)
-        burst = pdf["burst"].fillna("").to_numpy()
-        covered, used, chosen = np.zeros(len(target)), {}, []
-        similar = np.full(len(pdf), -1.0)
-        left = np.ones(len(pdf), bool)
+        rows, state = _arrays(pdf), Picks(np.zeros(len(rule.target)))
+        similar, left = rows["similar"], np.ones(len(pdf), bool)
         for _ in range(min(picks, len(pdf))):
-            deficit = np.where(target > 1e-6, np.maximum(target - covered, 0) / np.maximum(target, 1e-6), 0.0)
-            gain = evidence * deficit * w
-            best = -np.sort(-np.stack([gain[:, m].max(axis=1) for m in member], axis=1), axis=1)[:, : p["top_groups"]]
-            positive = best > 1e-6
-            coverage = np.where(positive, best, 0).sum(axis=1) / np.maximum(1, positive.sum(axis=1))
-            novelty = np.full(len(pdf), 0.5) if similar.max() <= -0.5 else np.clip((1 - similar) / (1 - p["novelty_start"]), 0, 1)
-            redundant = p["redundancy"] * np.clip((similar - p["redundancy_start"]) / max(1e-6, 1 - p["redundancy_start"]), 0, 1) ** 2
-            repeat = p["repeat"] * np.array([min(3, used.get(b, 0)) if b else 0 for b in burst])
-            score = np.round(p["quality"] * quality + p["coverage"] * coverage + p["novelty"] * novelty - penalty - redundant - repeat, 9)
-            order = np.lexsort((np.arange(len(pdf)), -quality, -np.where(left, score, -np.inf)))
-            i = int(order[0])
+            i = _best(rows, np.where(left, rule.scores(rows, similar, state), -np.inf))
             left[i] = False
-            chosen.append(i)
-            covered = covered + evidence[i]
-            similar = np.maximum(similar, vectors @ vectors[i])
-            if burst[i]:
-                used[burst[i]] = used.get(burst[i], 0) + 1
-        return pd.DataFrame({"record_id": pdf["record_id"].to_numpy()[chosen], "pick": np.arange(1, len(chosen) + 1)})
-
-    return pool.groupBy().applyInPandas(run, "record_id string, pick long")
+            state.take(rows["record_id"][i], rows["burst"][i], rows["vector"][i], rows["evidence"][i])
+            similar = np.maximum(similar, rows["vector"] @ rows["vector"][i])
+        return pd.DataFrame({"record_id": state.ids, "pick": np.arange(1, len(state.ids) + 1)})
+
+    return pool.groupBy().applyInPandas(run, f"record_id {kind}, pick long")
+
+
+def _by_passes(pool: DataFrame, rule: Rule, picks: int, kind: str) -> DataFrame:
+    """The picks by one distributed pass each; a pass returns one row, and tasks get the picks so far."""
+    state = Picks(np.zeros(len(rule.target)))
+    out = f"record_id {kind}, score double, quality double, burst string, vector array<double>, evidence array<double>"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            pdf = pdf[~pdf["record_id"].isin(state.ids)]
+            if not len(pdf):
+                continue
+            rows = _arrays(pdf)
+            similar = np.max([rows["similar"], *[rows["vector"] @ v for v in state.vectors]], axis=0)
+            score = rule.scores(rows, similar, state)
+            i = _best(rows, score)
+            yield pd.DataFrame({"record_id": [rows["record_id"][i]], "score": [score[i]], "quality": [rows["quality"][i]], "burst": [rows["burst"][i]], "vector": [rows["vector"][i]], "evidence": [rows["evidence"][i]]})
+
+    for _ in range(picks):
+        best = pool.mapInPandas(run, out).orderBy(F.desc("score"), F.desc("quality"), "record_id").first()
+        state.take(best["record_id"], best["burst"], np.array(best["vector"]), np.array(best["evidence"]))
+    return pool.sparkSession.createDataFrame(list(zip(state.ids, range(1, picks + 1))), f"record_id {kind}, pick long")

@@ -8,10 +8,12 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import clip01, crop_box, evidence, median3, median_hash, norm_tag, output_stem, resolution_score
 from ..operators.bursts import assign_bursts
-from ..operators.independent import greedy_keep
-from ..operators.pairs import cosine_pairs, hamming_pairs
+from ..operators.independent import checkpoint, greedy_keep
+from ..operators.pairs import cosine_pairs, hamming_pairs, near_chosen, nearest
 from ..operators.ranks import robust_rank
 from ..operators.selection import WEIGHTS, select_greedy
+from ..sources.vocabulary import spec_scores
+from .curate import validation_pool as free_of
 from .fixtures import SPECS, SQL_RECORDS, SQL_SCORES, micros, records, scores, table
 
 FLOOR, PRESENCE, AVAILABILITY, PENALTY_CAP = 0.2, 0.3, 0.75, 0.30
@@ -320,16 +322,26 @@ def spec_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir)[1]
 
 
-@query(f"""WITH {SQL_RECORDS}, {SQL_BASIC} SELECT record_id, round((0.55::DOUBLE * (1 - blur_global) + 0.20::DOUBLE * exposure + 0.10::DOUBLE * {SQL_RESOLUTION} + 0.15::DOUBLE * {sql_rank('brisque', '', higher=False)}) / (0.55::DOUBLE + 0.20::DOUBLE + 0.10::DOUBLE + 0.15::DOUBLE), 9) AS quality FROM basic""")
+SQL_PARTS = f"0.55::DOUBLE * (1 - focus_risk) + 0.20::DOUBLE * exposure + 0.10::DOUBLE * {SQL_RESOLUTION}"
+
+
+@query(f"""WITH {SQL_RECORDS}, {SQL_BASIC}, {SQL_FOCUS} SELECT record_id, round(({SQL_PARTS} + 0.15::DOUBLE * {sql_rank('brisque', '', higher=False)}) / (0.55::DOUBLE + 0.20::DOUBLE + 0.10::DOUBLE + 0.15::DOUBLE), 9) AS quality FROM basic JOIN focus USING (record_id)""")
 def quality_with_brisque(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality(basic(records(spark, sf_dir)), 0.15).select("record_id", r9(F.col("quality")).alias("quality"))
+    return _quality(focus(basic(records(spark, sf_dir))), 0.15).select("record_id", r9(F.col("quality")).alias("quality"))
+
 
+@query(f"""WITH {SQL_RECORDS}, {SQL_BASIC}, {SQL_FOCUS} SELECT record_id, round(({SQL_PARTS}) / (0.55::DOUBLE + 0.20::DOUBLE + 0.10::DOUBLE), 9) AS quality FROM basic JOIN focus USING (record_id)""")
+def quality_without_brisque(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality(focus(basic(records(spark, sf_dir))), None).select("record_id", r9(F.col("quality")).alias("quality"))
 
-def _quality(df: DataFrame, weight: float) -> DataFrame:
-    """Final quality; the no-reference score's rank takes part with its weight."""
-    df = robust_rank(df, "brisque", "rank_brisque", higher=False)
-    total = 0.55 * (1 - F.col("blur_global")) + 0.20 * F.col("exposure") + 0.10 * resolution_score(F.col("min_side"), LEAST_SIDE) + weight * F.col("rank_brisque")
-    return df.withColumn("quality", total / (0.55 + 0.20 + 0.10 + weight))
+
+def _quality(df: DataFrame, weight: float | None) -> DataFrame:
+    """Final quality; the no-reference score's rank takes part with its weight, if it is known."""
+    total, weights = 0.55 * (1 - F.col("focus_risk")) + 0.20 * F.col("exposure") + 0.10 * resolution_score(F.col("min_side"), LEAST_SIDE), 0.55 + 0.20 + 0.10
+    if weight is not None:
+        df = robust_rank(df, "brisque", "rank_brisque", higher=False)
+        total, weights = total + weight * F.col("rank_brisque"), weights + weight
+    return df.withColumn("quality", total / weights)
 
 
 @query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN regexp_replace(n, '\\.[^.]*$', '') || '__face' || (page_id % 5) || '.png' ELSE n END AS file_name FROM (SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS n FROM pages)")
@@ -351,10 +363,9 @@ def validation_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = records(spark, sf_dir).select("vec_id", "record_id", "source_id", "phash", "v")
     train, pool = r.where("vec_id % 10 = 0"), r.where("vec_id % 10 <> 0")
     free = pool.join(train.select("source_id").distinct(), "source_id", "left_anti")
-    near = cosine_pairs(r, "vec_id", "v", 0.25)
-    code = r.select(F.col("vec_id").alias("b"), F.col("phash").alias("y"))
-    both = near.union(near.select(F.col("b"), F.col("a"), "similarity")).join(code, "b").where("b % 10 = 0").select(F.col("a").alias("vec_id"), "y")
-    leaks = free.join(both, "vec_id").where(F.bit_count(F.col("phash").bitwiseXOR(F.col("y"))) <= 28).select("record_id").distinct()
+    code = train.select(F.col("vec_id").alias("chosen"), F.col("phash").alias("y"))
+    near = near_chosen(free, train, "vec_id", "v", 0.25).join(code, "chosen").join(free.select("vec_id", "record_id", "phash"), "vec_id")
+    leaks = near.where(F.bit_count(F.col("phash").bitwiseXOR(F.col("y"))) <= 28).select("record_id").distinct()
     return free.join(leaks, "record_id", "left_anti").select("record_id")
 
 
@@ -363,19 +374,81 @@ SELECT vec_id, round(max(s), 9) AS similarity, arg_max(other, s) AS nearest FROM
 def nearest_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest chosen item of every item; the blocks of the chosen side are matrix products."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    near = cosine_pairs(e, "vec_id", "v", -1.01)
-    both = near.union(near.select("b", "a", "similarity")).where("b % 10 = 0")
-    return both.groupBy(F.col("a").alias("vec_id")).agg(r9(F.max("similarity")).alias("similarity"), F.max_by("b", F.struct("similarity", -F.col("b"))).alias("nearest"))
+    return nearest(e, e.where("vec_id % 10 = 0"), "vec_id", "v").select("vec_id", r9(F.col("similarity")).alias("similarity"), "nearest")
 
 
-@query(None)
-def select_greedy_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forty picks from the eligible records."""
-    ok = gates(spark, sf_dir).where("reject_reason = ''").select("record_id", "focus_risk")
-    r = _quality(basic(records(spark, sf_dir)), 0.15).join(ok, "record_id")
-    s = scores(spark, sf_dir).where("block = 'category'").join(ok.select("record_id"), "record_id")
+SQL_TAG_PROBABILITY = "least(1.0::DOUBLE, abs(v[1 + tag_idx % 64]) * 4)"
+
+
+@query(f"""WITH {SQL_RECORDS}, {SQL_VOCABULARY}, {SQL_WANTED}, numbered AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS tag_idx FROM vocabulary),
+hits AS (SELECT DISTINCT spec, tag_idx FROM wanted JOIN numbered ON (list_contains(tags, tag) OR len(list_filter(prefixes, lambda p: starts_with(tag, p))) > 0) AND NOT list_contains(without, tag))
+SELECT record_id, spec, round(max({SQL_TAG_PROBABILITY}), 9) AS raw FROM records CROSS JOIN hits GROUP BY record_id, spec""")
+def score_max_per_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest probability of each spec's tags. The vocabulary and what specs match of it are short tables of fixed size."""
+    hits = _resolved(spark, sf_dir)[0]
+    words = table(spark, sf_dir, "part").select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("tag")).distinct()
+    numbered = words.select("tag", (F.row_number().over(Window.orderBy("tag")) - 1).alias("tag_idx"))
+    r = records(spark, sf_dir).select("record_id", "v")
+    every = r.select("record_id", F.explode(F.transform(F.col("v"), lambda x, i: F.struct(i.alias("place"), F.least(F.lit(1.0), F.abs(x) * 4).alias("prob")))).alias("p")).select("record_id", "p.*")
+    of = hits.join(numbered, "tag").select("spec", "tag_idx", (F.col("tag_idx") % 64).alias("place"))
+    probabilities = every.join(F.broadcast(of.select("place", "tag_idx").distinct()), "place")
+    return spec_scores(probabilities, of.select("spec", "tag_idx")).withColumn("raw", r9(F.col("raw")))
+
+
+@query(f"""WITH {SQL_SCORES}, {SQL_TARGETS}, got AS (SELECT spec, sum({SQL_EVIDENCE}) AS achieved FROM scores WHERE block = 'category' AND substr(record_id, 2)::BIGINT % 10 = 0 GROUP BY spec)
+SELECT spec, round(achieved, 9) AS achieved, round(goal::DOUBLE, 9) AS goal FROM targets JOIN got USING (spec) WHERE goal >= 0.5 OR achieved >= 0.5""")
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence that the chosen records add up to, beside the targets, where either reaches a half."""
+    s = scores(spark, sf_dir)
+    chosen = s.where("block = 'category'").where(F.substring("record_id", 2, 9).cast("long") % 10 == 0)
+    got = chosen.groupBy("spec").agg(F.sum(evidence(F.col("raw"), FLOOR, PRESENCE)).alias("achieved"))
+    rows = targets(s).select("spec", "goal").join(got, "spec").where("goal >= 0.5 OR achieved >= 0.5")
+    return rows.select("spec", r9(F.col("achieved")).alias("achieved"), r9(F.col("goal")).alias("goal"))
+
+
+@query(f"""{SQL_GATES}, train AS (SELECT record_id FROM gates WHERE reject_reason = '' AND substr(record_id, 2)::BIGINT % 10 = 0), val AS (SELECT record_id FROM gates WHERE reject_reason = '' AND substr(record_id, 2)::BIGINT % 10 = 1)
+SELECT r.record_id, CASE WHEN t.record_id IS NOT NULL THEN 'train' WHEN v.record_id IS NOT NULL THEN 'validate' WHEN g.reject_reason = '' THEN 'eligible_not_selected' ELSE 'rejected' END AS status,
+  coalesce(g.reject_reason, CASE WHEN min_side < {LEAST_SIDE} THEN 'small' WHEN aspect_ratio > {MOST_ASPECT} THEN 'aspect' ELSE '' END) AS reject_reason, round(g.focus_risk, 9) AS focus_risk
+FROM records r LEFT JOIN gates g USING (record_id) LEFT JOIN train t ON t.record_id = r.record_id LEFT JOIN val v ON v.record_id = r.record_id""")
+def debug_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status of every record: what was chosen, what could have been, and the first reason against the others."""
+    g = gates(spark, sf_dir).withColumnRenamed("reject_reason", "later")
+    ok, digit = F.coalesce(F.col("later") == "", F.lit(False)), F.substring("record_id", 2, 9).cast("long") % 10
+    status = F.when(ok & (digit == 0), "train").when(ok & (digit == 1), "validate").when(ok, "eligible_not_selected").otherwise("rejected")
+    rows = reason(records(spark, sf_dir).select("record_id", "min_side", "aspect_ratio")).join(g, "record_id", "left")
+    return rows.select("record_id", status.alias("status"), F.coalesce("later", "reject_reason").alias("reject_reason"), r9(F.col("focus_risk")).alias("focus_risk"))
+
+
+def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eligible records with what the selection needs."""
+    ok = gates(spark, sf_dir).where("reject_reason = ''").select("record_id")
+    r = _quality(focus(basic(records(spark, sf_dir))), 0.15).join(ok, "record_id")
+    found = assign_bursts(r.select("record_id", "dir", "capture_source", "capture_us"), ["dir", "capture_source"], "capture_us", "record_id", GAP // 3, SPAN // 3)
+    names = found.select("record_id", F.concat_ws("/", "dir", "capture_source", "burst_start").alias("burst"))
+    return r.join(penalties(spark, sf_dir), "record_id").join(names, "record_id", "left").select("record_id", "source_id", "phash", "quality", "focus_risk", "penalty", F.coalesce("burst", F.lit("")).alias("burst"), F.col("v").alias("vector"))
+
+
+def _picked(spark: SparkSession, sf_dir: str, pool: DataFrame, picks: int) -> DataFrame:
+    s = scores(spark, sf_dir).where("block = 'category'").join(pool.select("record_id"), "record_id", "left_semi")
     e = s.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("spec", evidence(F.col("raw"), FLOOR, PRESENCE).alias("e")))), lambda x: x["e"]).alias("evidence"))
     goals = {x["spec"]: float(x["goal"]) for x in targets(s).collect()}
     cats = sorted(x for x in SPECS if x[1] == "category")
-    pool = r.join(penalties(spark, sf_dir), "record_id").join(e, "record_id").select("record_id", "quality", "penalty", F.lit("").alias("burst"), F.col("v").alias("vector"), "evidence")
-    return select_greedy(pool, [x[3] for x in cats], [x[4] for x in cats], [goals.get(x[0], 0.0) for x in cats], 40, WEIGHTS)
+    return select_greedy(pool.join(e, "record_id"), [x[3] for x in cats], [x[4] for x in cats], [goals.get(x[0], 0.0) for x in cats], picks, WEIGHTS)
+
+
+@query(None)
+def select_greedy_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forty picks from the eligible records."""
+    return _picked(spark, sf_dir, _pool(spark, sf_dir), 40)
+
+
+@query(None)
+def select_greedy_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight picks from what shares nothing with the forty; similarity and burst uses carry over."""
+    pool = checkpoint(_pool(spark, sf_dir))
+    train = checkpoint(_picked(spark, sf_dir, pool, 40))
+    cfg = {"validation": {"near_duplicate_similarity": 0.25, "near_duplicate_phash_distance": 28, "same_burst_similarity": 0.05}}
+    eligible = pool.withColumnRenamed("burst", "burst_id").drop("vector")
+    free = free_of(eligible, train, pool.select("record_id", "vector"), cfg)
+    free = free.join(pool.select("record_id", "vector"), "record_id").withColumnRenamed("burst_id", "burst")
+    return _picked(spark, sf_dir, checkpoint(free), 8)

@@ -68,3 +68,9 @@ def test_hamming_pairs_are_exact(spark):
 def test_selection_picks(spark):
     rows = queries.select_greedy_train(spark, SF).collect()
     assert [r["pick"] for r in sorted(rows, key=lambda r: r["pick"])] == list(range(1, 41)) and len({r["record_id"] for r in rows}) == 40
+
+
+def test_validation_picks_share_nothing(spark):
+    train = {r["record_id"] for r in queries.select_greedy_train(spark, SF).collect()}
+    rows = queries.select_greedy_validate(spark, SF).collect()
+    assert len(rows) <= 8 and not train & {r["record_id"] for r in rows}
