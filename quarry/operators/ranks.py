@@ -11,13 +11,14 @@ from pyspark.sql.window import Window
 BUCKETS = 64
 
 
-def robust_rank(df: DataFrame, value: str, name: str, higher: bool = True) -> DataFrame:
+def robust_rank(df: DataFrame, value: str, name: str, higher: bool = True, of: DataFrame | None = None) -> DataFrame:
     """df with `name`. Values are counted, cut into ranges at quantiles, and ranked within ranges; no task sorts all of them.
 
-    The ranges' totals are at most BUCKETS rows, which is what is broadcast.
+    The ranges' totals are at most BUCKETS rows, which is what is broadcast. of: a DataFrame with the same rows' values
+    that is cheaper to compute than df, as when df has other ranks already; without it each rank would repeat those before.
     """
     v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
-    counts = df.select(v.alias("_v")).where("_v IS NOT NULL").groupBy("_v").agg(F.count("*").alias("_c"))
+    counts = (df if of is None else of).select(v.alias("_v")).where("_v IS NOT NULL").groupBy("_v").agg(F.count("*").alias("_c"))
     cuts = sorted(set(counts.approxQuantile(["_v"], [i / BUCKETS for i in range(1, BUCKETS)], 0.005)[0]))
     place = reduce(lambda a, b: a + b, [(F.col("_v") > F.lit(c)).cast("int") for c in cuts], F.lit(0))
     counts = counts.withColumn("_b", place)

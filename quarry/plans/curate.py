@@ -95,7 +95,7 @@ def gated(records: DataFrame, scores: DataFrame, specs: DataFrame, cfg: dict) ->
     f = cfg["audit"]["focus"]
     df = records
     for c in ("blur_global", "blur_center", "blur_local", "laplacian"):
-        df = robust_rank(df, c, "_r_" + c)
+        df = robust_rank(df, c, "_r_" + c, of=records)
     blur = median3(*[F.col("_r_" + c) for c in ("blur_global", "blur_center", "blur_local")])
     risk = clip01(0.5 * blur + 0.4 * (1 - F.col("_r_laplacian")) + 0.1 * (1 - F.col("exposure")))
     df = df.withColumn("focus_risk", risk).drop("_r_blur_global", "_r_blur_center", "_r_blur_local", "_r_laplacian")
@@ -113,7 +113,7 @@ def with_quality(eligible: DataFrame, cfg: dict) -> DataFrame:
     parts = [(0.55, 1 - F.col("focus_risk")), (0.20, F.col("exposure")), (0.10, resolution_score(F.col("min_side"), cfg["audit"]["min_side"]))]
     df = eligible
     if b["enabled"] and "brisque" in df.columns and len(df.where("brisque IS NOT NULL AND NOT isnan(brisque)").limit(2).collect()) == 2:
-        df = robust_rank(df, "brisque", "_brisque", higher=False)
+        df = robust_rank(df, "brisque", "_brisque", higher=False, of=eligible)
         parts.append((b["weight"], F.col("_brisque")))
     total = sum(w * c for w, c in parts) / sum(w for w, _ in parts)
     return df.withColumn("quality", total).drop("_brisque")

@@ -158,9 +158,10 @@ def prequality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def focus(df: DataFrame) -> DataFrame:
+    of = df
     for c in ("blur_global", "blur_center", "blur_local"):
-        df = robust_rank(df, c, "rank_" + c)
-    df = robust_rank(df, "laplacian", "rank_sharp")
+        df = robust_rank(df, c, "rank_" + c, of=of)
+    df = robust_rank(df, "laplacian", "rank_sharp", of=of)
     blur = median3(*[F.col("rank_" + c) for c in ("blur_global", "blur_center", "blur_local")])
     return df.withColumn("focus_risk", clip01(0.5 * blur + 0.4 * (1 - F.col("rank_sharp")) + 0.1 * (1 - F.col("exposure"))))
 
@@ -327,19 +328,20 @@ SQL_PARTS = f"0.55::DOUBLE * (1 - focus_risk) + 0.20::DOUBLE * exposure + 0.10::
 
 @query(f"""WITH {SQL_RECORDS}, {SQL_BASIC}, {SQL_FOCUS} SELECT record_id, round(({SQL_PARTS} + 0.15::DOUBLE * {sql_rank('brisque', '', higher=False)}) / (0.55::DOUBLE + 0.20::DOUBLE + 0.10::DOUBLE + 0.15::DOUBLE), 9) AS quality FROM basic JOIN focus USING (record_id)""")
 def quality_with_brisque(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality(focus(basic(records(spark, sf_dir))), 0.15).select("record_id", r9(F.col("quality")).alias("quality"))
+    return _quality(basic(records(spark, sf_dir)), 0.15).select("record_id", r9(F.col("quality")).alias("quality"))
 
 
 @query(f"""WITH {SQL_RECORDS}, {SQL_BASIC}, {SQL_FOCUS} SELECT record_id, round(({SQL_PARTS}) / (0.55::DOUBLE + 0.20::DOUBLE + 0.10::DOUBLE), 9) AS quality FROM basic JOIN focus USING (record_id)""")
 def quality_without_brisque(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _quality(focus(basic(records(spark, sf_dir))), None).select("record_id", r9(F.col("quality")).alias("quality"))
+    return _quality(basic(records(spark, sf_dir)), None).select("record_id", r9(F.col("quality")).alias("quality"))
 
 
 def _quality(df: DataFrame, weight: float | None) -> DataFrame:
-    """Final quality; the no-reference score's rank takes part with its weight, if it is known."""
+    """Basic records with focus_risk and final quality; the no-reference score's rank takes part with its weight, if it is known."""
+    of, df = df, focus(df)
     total, weights = 0.55 * (1 - F.col("focus_risk")) + 0.20 * F.col("exposure") + 0.10 * resolution_score(F.col("min_side"), LEAST_SIDE), 0.55 + 0.20 + 0.10
     if weight is not None:
-        df = robust_rank(df, "brisque", "rank_brisque", higher=False)
+        df = robust_rank(df, "brisque", "rank_brisque", higher=False, of=of)
         total, weights = total + weight * F.col("rank_brisque"), weights + weight
     return df.withColumn("quality", total / weights)
 
@@ -422,10 +424,14 @@ def debug_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligible records with what the selection needs."""
     ok = gates(spark, sf_dir).where("reject_reason = ''").select("record_id")
-    r = _quality(focus(basic(records(spark, sf_dir))), 0.15).join(ok, "record_id")
+    r = checkpoint(_quality(basic(records(spark, sf_dir)), 0.15).join(ok, "record_id"))
     found = assign_bursts(r.select("record_id", "dir", "capture_source", "capture_us"), ["dir", "capture_source"], "capture_us", "record_id", GAP // 3, SPAN // 3)
     names = found.select("record_id", F.concat_ws("/", "dir", "capture_source", "burst_start").alias("burst"))
-    return r.join(penalties(spark, sf_dir), "record_id").join(names, "record_id", "left").select("record_id", "source_id", "phash", "quality", "focus_risk", "penalty", F.coalesce("burst", F.lit("")).alias("burst"), F.col("v").alias("vector"))
+    return checkpoint(_pool_columns(r, penalties(spark, sf_dir), names))
+
+
+def _pool_columns(r: DataFrame, blame: DataFrame, names: DataFrame) -> DataFrame:
+    return r.join(blame, "record_id").join(names, "record_id", "left").select("record_id", "source_id", "phash", "quality", "focus_risk", "penalty", F.coalesce("burst", F.lit("")).alias("burst"), F.col("v").alias("vector"))
 
 
 def _picked(spark: SparkSession, sf_dir: str, pool: DataFrame, picks: int) -> DataFrame:
@@ -445,7 +451,7 @@ def select_greedy_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def select_greedy_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight picks from what shares nothing with the forty; similarity and burst uses carry over."""
-    pool = checkpoint(_pool(spark, sf_dir))
+    pool = _pool(spark, sf_dir)
     train = checkpoint(_picked(spark, sf_dir, pool, 40))
     cfg = {"validation": {"near_duplicate_similarity": 0.25, "near_duplicate_phash_distance": 28, "same_burst_similarity": 0.05}}
     eligible = pool.withColumnRenamed("burst", "burst_id").drop("vector")
