@@ -79,12 +79,14 @@ def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     k = 1
     while k < min_words:
         open_ = level.where(F.col("need") > k)
+        # near a text's end need is null, but the last k lines of a run from further up may start there
+        longer = level.where(F.col("need").isNull() | (F.col("need") > k))
         # runs of k + 1 to 2k lines: the first k and the last k
         runs = _double(open_.where(F.col("need") <= 2 * k).drop("first"), level.drop("first"), F.col("need") - k)
         name = ["need", "a", "b", "c", "d"]
         out.append(runs.join(_intervals(runs, name), name).where(later).select(*_PLACE, "need"))
         if 2 * k < min_words:
-            pairs = _double(open_.drop("first"), level.drop("first"), F.lit(k))
+            pairs = _double(longer.drop("first"), level.drop("first"), F.lit(k))
             pairs = pairs.select(*_PLACE, "need", F.xxhash64("a", "b", "c", "d").alias("x"), F.xxhash64(F.lit(k), "a", "b", "c", "d").alias("y")).withColumnsRenamed({"x": "a", "y": "b"})
             level = cut(pairs.join(_intervals(pairs, ["a", "b"]), ["a", "b"]), "lines")
         k *= 2

@@ -142,6 +142,28 @@ def test_line_dedup_rules(spark):
     assert got[3]["n_removed"] == 0 and got[4]["text"] == "" and got[4]["n_runs"] == 1
 
 
+SHORT_ENDS = ["aa bb\ncc dd\nee", "a\nb\nc\nd e", "a\nb\nc\nd\ne", "a b\nc\nd\ne f g h", "x y z\nu\nv", "long line of six whole words\na b\nc\nd e"]
+
+
+def line_sql(rows):
+    """What op6's SQL gives for rows of (doc_id, text)."""
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    return sorted(c.execute(lines.ORACLE_SQL).fetchall())
+
+
+def test_line_dedup_short_ends(spark, tmp_path):
+    rows = [(10 * i + k, f"head {i} {k} of its own words\n{t}") for i, t in enumerate(SHORT_ENDS) for k in range(2)]
+    rows += [(1000 + 10 * i + k, t) for i, t in enumerate(SHORT_ENDS) for k in range(2)]
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in lines.op6_line_dedup(spark, str(tmp_path)).collect()) == line_sql(rows)
+    table(spark, [(1, SHORT_ENDS[0]), (2, SHORT_ENDS[0])]).write.parquet(f"{tmp_path}/two/documents.parquet")
+    assert [r["n_removed"] for r in lines.op6_line_dedup(spark, f"{tmp_path}/two").orderBy("doc_id").collect()] == [0, 3]
+
+
 def covered(rows):
     first, data = {}, [(-(1 << 63) if i is None else i, (t or "").encode()) for i, t in rows]
     for d, b in sorted(data, key=lambda x: x[0]):
