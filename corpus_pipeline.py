@@ -1,7 +1,7 @@
 """The corpus pipeline: from documents to packed training sequences in five stages.
 
 1. language: texts without a letter go, and those that cost more than their bytes in every language.
-2. line_dedup: later copies of repeated line runs are deleted; a text of which nothing is left goes.
+2. line_dedup: later copies of maximal repeated line runs are deleted; a text of which nothing is left goes.
 3. jaccard: of each group of near duplicates (five-word shingles, 0.8) the document with the smallest doc_id stays.
 4. secrets: owner-specific live-looking credentials are replaced by a mark.
 5. packing: what is left is tokenised and packed into windows.
@@ -33,7 +33,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    kept = lines.dedup_lines(docs, whole=True).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _counted(kept, docs.columns)
 
 

@@ -5,8 +5,12 @@ The suffixes that share a run's lines are an interval of the suffix array whose
 run; prefix doubling names the intervals: the name of 1 line is its hash, the name of 2k lines is made of the names of
 the first and the last k of them, and an interval is kept as long as it holds two places. A suffix leaves as soon as the
 shortest run from it that has MIN_WORDS words is named (by the names of its first and last k lines, which overlap).
-Intervals that lie on one another make up the maximal repeated runs. Of every run the first place stays, by doc_id and
-then line, and the lines of later places are deleted.
+Of every run the first place stays, by doc_id and then line, and the lines of later places are deleted. From each line on
+the shortest run of MIN_WORDS words is compared, as in the query's SQL; so the lines that end a longer run, of fewer than
+MIN_WORDS words together, may stay. With `whole`, as in the pipeline, the longer runs from that line on whose lines but
+the first have fewer than MIN_WORDS words are compared too. That deletes the maximal repeated runs entirely: if such a
+run covers a line, take the last line up to it from which the run still has MIN_WORDS words; the run from there is one
+of those compared. So no run of more than MIN_WORDS lines needs a name.
 
 Only lines that occur twice take part after the first step. Names are 128 bits of two hashes.
 
@@ -38,8 +42,11 @@ def _full(lines: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(r"[^\x20\x09-\x0D]"))
 
 
-def line_suffixes(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """Every line that holds a word: its place, its 128-bit name, and the lines that min_words words from there on take (null: too few)."""
+def line_suffixes(df: DataFrame, key: str, text: str, min_words: int, whole: bool = False) -> DataFrame:
+    """Every line that holds a word: its place, its 128-bit name, and the least and most lines of a run from there (null: too few words).
+
+    The least lines are those that min_words words take; the most are the same, or, with whole, as many as have fewer than min_words words after the first.
+    """
     words = df.where(F.col(text).isNotNull()).select(*_keys(key, text), F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"))
     words = words.select("quarry__did", "quarry__hash", F.transform("lines", lambda x: F.struct(
         F.xxhash64(x).alias("a"), F.xxhash64(F.lit(11), x).alias("b"),
@@ -54,8 +61,18 @@ def line_suffixes(df: DataFrame, key: str, text: str, min_words: int) -> DataFra
             lambda acc: F.when(acc["sum"] >= min_words, acc["n"]),
         )
 
-    rows = words.select("quarry__did", "quarry__hash", F.posexplode(F.transform("lines", lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), need(i).alias("need")))).alias("quarry__pos", "x"))
-    return rows.select(*_PLACE, "x.a", "x.b", "x.need")
+    def reach(i: Column) -> Column:
+        start = F.struct(F.lit(0).alias("sum"), F.lit(1).alias("n"))
+        after = F.aggregate(
+            F.slice("lines", i + 2, min_words - 1), start,
+            lambda acc, x: F.struct((acc["sum"] + x["w"]).alias("sum"), F.when(acc["sum"] + x["w"] < min_words, acc["n"] + 1).otherwise(acc["n"]).alias("n")),
+            lambda acc: acc["n"],
+        )
+        return F.when(need(i).isNotNull(), F.greatest(need(i), after))
+
+    each = F.transform("lines", lambda x, i: F.struct(x["a"].alias("a"), x["b"].alias("b"), need(i).alias("need"), (reach if whole else need)(i).alias("reach")))
+    rows = words.select("quarry__did", "quarry__hash", F.posexplode(each).alias("quarry__pos", "x"))
+    return rows.select(*_PLACE, "x.a", "x.b", "x.need", "x.reach")
 
 
 def _intervals(rows: DataFrame, name: list[str]) -> DataFrame:
@@ -70,32 +87,33 @@ def _double(left: DataFrame, right: DataFrame, step: Column) -> DataFrame:
     return left.join(there, (F.col("quarry__did") == F.col("rquarry__did")) & (F.col("quarry__hash") == F.col("rquarry__hash")) & (F.col("quarry__pos") + step == F.col("rquarry__pos"))).drop(*["r" + c for c in _PLACE])
 
 
-def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
     """Later places of repeated runs: (key, hash, pos, need) for `need` lines from line pos (among those with a word) on."""
-    every = line_suffixes(df, key, text, min_words)
+    every = line_suffixes(df, key, text, min_words, whole)
     level = cut(every.join(cut(_intervals(every, ["a", "b"]), "names"), ["a", "b"]), "lines")
     later = F.struct(*_PLACE) != F.col("first")
     out = [level.where((F.col("need") == 1) & later).select(*_PLACE, "need")]
     k = 1
     while k < min_words:
-        open_ = level.where(F.col("need") > k)
         # near a text's end need is null, but the last k lines of a run from further up may start there
-        longer = level.where(F.col("need").isNull() | (F.col("need") > k))
+        longer = level.where(F.col("need").isNull() | (F.greatest("need", "reach") > k))
         # runs of k + 1 to 2k lines: the first k and the last k
-        runs = _double(open_.where(F.col("need") <= 2 * k).drop("first"), level.drop("first"), F.col("need") - k)
+        open_ = level.where((F.col("reach") > k) & (F.col("need") <= 2 * k)).drop("first")
+        open_ = open_.withColumn("need", F.explode(F.sequence(F.greatest("need", F.lit(k + 1)), F.least("reach", F.lit(2 * k)))))
+        runs = _double(open_, level.drop("first"), F.col("need") - k)
         name = ["need", "a", "b", "c", "d"]
         out.append(runs.join(_intervals(runs, name), name).where(later).select(*_PLACE, "need"))
         if 2 * k < min_words:
             pairs = _double(longer.drop("first"), level.drop("first"), F.lit(k))
-            pairs = pairs.select(*_PLACE, "need", F.xxhash64("a", "b", "c", "d").alias("x"), F.xxhash64(F.lit(k), "a", "b", "c", "d").alias("y")).withColumnsRenamed({"x": "a", "y": "b"})
+            pairs = pairs.select(*_PLACE, "need", "reach", F.xxhash64("a", "b", "c", "d").alias("x"), F.xxhash64(F.lit(k), "a", "b", "c", "d").alias("y")).withColumnsRenamed({"x": "a", "y": "b"})
             level = cut(pairs.join(_intervals(pairs, ["a", "b"]), ["a", "b"]), "lines")
         k *= 2
     return reduce(DataFrame.unionAll, out)
 
 
-def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """df with later copies of repeated runs deleted from its text, and n_lines, n_removed, n_runs."""
-    runs = repeated_runs(df, key, text, min_words)
+def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, whole: bool = False) -> DataFrame:
+    """df with later copies of repeated runs deleted from its text (with whole, up to their last lines), and n_lines, n_removed, n_runs."""
+    runs = repeated_runs(df, key, text, min_words, whole)
     each = runs.select("quarry__did", "quarry__hash", F.explode(F.sequence(F.col("quarry__pos"), F.col("quarry__pos") + F.col("need") - 1)).alias("quarry__pos"))
     gone = each.groupBy("quarry__did", "quarry__hash").agg(F.array_sort(F.collect_set("quarry__pos")).alias("quarry__gone"))
     columns = [c for c in df.columns if c not in ADDED]

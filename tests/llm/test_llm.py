@@ -164,6 +164,32 @@ def test_line_dedup_short_ends(spark, tmp_path):
     assert [r["n_removed"] for r in lines.op6_line_dedup(spark, f"{tmp_path}/two").orderBy("doc_id").collect()] == [0, 3]
 
 
+def maximal(rows):
+    """Kept texts when every line of a run of five words or more that has an earlier place is deleted, by brute force."""
+    full = [(d, [x for x in t.split("\n") if x.strip()]) for d, t in rows]
+    first, out = {}, {}
+    places = [(d, i, j, "\n".join(ls[i:j])) for d, ls in full for i in range(len(ls)) for j in range(i + 1, len(ls) + 1)]
+    places = [p for p in places if len(p[3].split()) >= 5]
+    for d, i, _, run in sorted(places):
+        first.setdefault(run, (d, i))
+    gone = {(d, k) for d, i, j, run in places if first[run] < (d, i) for k in range(i, j)}
+    for d, ls in full:
+        out[d] = "\n".join(x for k, x in enumerate(ls) if (d, k) not in gone)
+    return out
+
+
+def test_line_dedup_whole_runs(spark):
+    rng = random.Random(5)
+    pool = ["one line of six whole words", "another line of six whole words", "a b", "c", "d e f", "g", "h i j k"]
+    rows = [(1, f"{pool[0]}\nc"), (2, f"{pool[0]}\nc"), (3, f"{pool[0]}\n{pool[1]}\nnew"), (4, f"{pool[0]}\n{pool[1]}\nnew")]
+    rows += [(10 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    rows += [(100 + 10 * i + k, t) for i, t in enumerate(SHORT_ENDS) for k in range(2)]
+    docs = table(spark, rows).repartition(3)
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs, whole=True).collect()}
+    assert got[2] == got[4] == "" and got == maximal(rows)
+    assert 2 not in {r["doc_id"] for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
+
+
 def covered(rows):
     first, data = {}, [(-(1 << 63) if i is None else i, (t or "").encode()) for i, t in rows]
     for d, b in sorted(data, key=lambda x: x[0]):
