@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
+from .license_digests import FULL
 
 #: Spellings that licence matching guidelines hold to be equal.
 SPELLINGS = {
@@ -34,8 +35,23 @@ The above copyright notice and this permission notice shall be included in all c
 THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
 _ISC_TAIL = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
 
-#: Licence identifier and an entire text under which it is known: full texts, and the usual one-line notices.
+#: Names that notices give to licences.
+NAMES = {
+    "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"), "MIT": ("MIT License",), "ISC": ("ISC License",),
+    "BSD-2-Clause": ("BSD 2-Clause License",), "BSD-3-Clause": ("BSD 3-Clause License",), "MPL-2.0": ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"),
+    "GPL-2.0": ("GNU General Public License, version 2", "GNU General Public License v2.0", "GPL-2.0"), "GPL-3.0": ("GNU General Public License, version 3", "GNU General Public License v3.0", "GPL-3.0"),
+    "LGPL-2.1": ("GNU Lesser General Public License, version 2.1",), "LGPL-3.0": ("GNU Lesser General Public License, version 3",), "AGPL-3.0": ("GNU Affero General Public License, version 3",),
+    "CC-BY-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0 International License"), "CC-BY-SA-4.0": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "CC-BY-NC-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"), "CC0-1.0": ("CC0 1.0",), "Unlicense": ("Unlicense",), "Zlib": ("zlib License",), "BSL-1.0": ("Boost Software License, Version 1.0",),
+}
+_FORMS = [a + b for a in ("", "This work is ", "This project is ", "This software is ") for b in ("licensed under ", "released under ", "distributed under ")]
+_SUFFIXES = {"GPL-2.0": ("", "-only", "-or-later"), "GPL-3.0": ("", "-only", "-or-later"), "LGPL-2.1": ("", "-only", "-or-later"), "LGPL-3.0": ("", "-only", "-or-later"), "AGPL-3.0": ("", "-only", "-or-later")}
+_NOTICES = [(i, f + the + n) for i, names in NAMES.items() for n in names for f in _FORMS for the in ("", "the ")]
+_NOTICES += [(i, f"SPDX-License-Identifier: {i}{x}") for i in sorted({*NAMES, *FULL.values()}) for x in _SUFFIXES.get(i, ("",))]
+
+#: Licence identifier and an entire text under which it is known: full texts, and the usual one-line notices. FULL has further full texts.
 KNOWN = (
+    *_NOTICES,
     ("MIT", _MIT),
     ("MIT", "MIT License\n" + _MIT),
     ("MIT", "The MIT License\n" + _MIT),
@@ -69,8 +85,8 @@ def canonical(text: str) -> str:
 
 
 def digests(known: tuple = KNOWN) -> dict[str, str]:
-    """Licence identifier by the digest of its canonical text."""
-    return {hashlib.sha256(canonical(t).encode()).hexdigest(): i for i, t in sorted(known, reverse=True)}
+    """Licence identifier by the digest of its canonical text; those of FULL belong to KNOWN."""
+    return (FULL if known is KNOWN else {}) | {hashlib.sha256(canonical(t).encode()).hexdigest(): i for i, t in sorted(known, reverse=True)}
 
 
 def canonical_column(text: Column) -> Column:
@@ -85,9 +101,12 @@ def scan(df: DataFrame, known: tuple = KNOWN, key: str = "doc_id", text: str = "
     """One row per row of df: digest and words of the canonical text, the licence it is, and those of its lines."""
     of = digests(known)
     table = F.broadcast(df.sparkSession.createDataFrame(sorted(of.items()), "canonical_sha256 string, license_id string"))
-    lookup = F.create_map(*[F.lit(x) for pair in sorted(of.items()) for x in pair])
+    # a map is searched entry by entry, so the digests are dealt out by their first two digits
+    dealt = [[x for pair in sorted(of.items()) if int(pair[0][:2], 16) == k for x in pair] or ["", ""] for k in range(256)]
+    lookup = F.array(*[F.create_map(*[F.lit(x) for x in part]) for part in dealt])
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.transform(F.split(t, "\n"), lambda x: lookup[F.sha2(canonical_column(x), 256)])
+    lines = F.transform(F.split(t, "\n"), lambda x: F.sha2(canonical_column(x), 256))
+    lines = F.transform(lines, lambda h: F.get(lookup, F.conv(F.substring(h, 1, 2), 16, 10).cast("int"))[h])
     found = F.filter(lines, lambda x: x.isNotNull())
     rows = df.select(F.col(key).alias("doc_id"), canonical_column(t).alias("c"), found.alias("found"))
     rows = rows.select(

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from quarry.llm import bpe, entry, fingerprints, jaccard, language, lines, media, packing, secrets, suffixes
+from quarry.llm import bpe, entry, fingerprints, jaccard, language, licenses, lines, media, packing, secrets, suffixes
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, _hash string"
@@ -142,6 +142,17 @@ def test_line_dedup_rules(spark):
     assert got[3]["n_removed"] == 0 and got[4]["text"] == "" and got[4]["n_runs"] == 1
 
 
+def test_licenses_full_texts(spark):
+    folder, names = "/usr/share/common-licenses", {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0"}
+    if not os.path.isdir(folder):
+        pytest.skip("no licence texts on this machine")
+    texts = [open(f"{folder}/{f}").read() for f in names]
+    rows = [*enumerate(texts), (50, texts[0] + "one more sentence"), (51, "text\nReleased under the Apache License, Version 2.0.\ntext"), (52, "// SPDX-License-Identifier: GPL-2.0-or-later")]
+    got = {r["doc_id"]: r for r in licenses.scan(table(spark, rows)).collect()}
+    assert [got[i]["license_id"] for i in range(len(texts))] == list(names.values())
+    assert got[50]["license_id"] is None and got[51]["notice_ids"] == "Apache-2.0" and got[52]["license_id"] == "GPL-2.0"
+
+
 SHORT_ENDS = ["aa bb\ncc dd\nee", "a\nb\nc\nd e", "a\nb\nc\nd\ne", "a b\nc\nd\ne f g h", "x y z\nu\nv", "long line of six whole words\na b\nc\nd e"]
 
 
