@@ -15,8 +15,6 @@ from . import capture
 
 #: File name endings of images. The JVM has no reader for webp and avif; those become `decode:` rejects.
 SUFFIXES = ("jpg", "jpeg", "png", "webp", "bmp", "tif", "tiff", "avif")
-#: Metadata lies in front; no more of a file than this goes to Python for it.
-HEAD_BYTES = 1 << 17
 #: Readers name local files with one slash or three.
 TRIPLE = "^([a-z0-9]+):///"
 
@@ -44,11 +42,11 @@ def file_digests(files: DataFrame) -> DataFrame:
 
 
 def headers(files: DataFrame) -> DataFrame:
-    """(path, modificationTime, tags) out of each file's front."""
+    """(path, modificationTime, tags) out of each entire file: a TIFF's folder and a PNG's chunk may follow the pixels."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            tags = [capture.metadata(bytes(c)) for c in pdf["head"]]
+            tags = [capture.metadata(bytes(c)) for c in pdf["content"]]
             out = pdf[["path", "modificationTime"]].copy()
             turn = [t.get(capture.ORIENTATION) for t in tags]
             out["orientation"] = pd.array([t if isinstance(t, int) and 1 <= t <= 8 else 1 for t in turn], dtype="Int32")
@@ -56,8 +54,7 @@ def headers(files: DataFrame) -> DataFrame:
                 out[name] = [None if t.get(tag) is None else str(t[tag]) for t in tags]
             yield out
 
-    head = files.select("path", "modificationTime", F.substring("content", 1, HEAD_BYTES).alias("head"))
-    return head.mapInPandas(run, f"path string, modificationTime timestamp, {TAGS}")
+    return files.select("path", "modificationTime", "content").mapInPandas(run, f"path string, modificationTime timestamp, {TAGS}")
 
 
 def pixels(spark: SparkSession, root: str, output: str | None = None) -> DataFrame:

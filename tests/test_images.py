@@ -145,6 +145,17 @@ def test_metadata(order):
         assert isinstance(capture.metadata(broken), dict)
 
 
+def test_metadata_behind_the_pixels(spark, tmp_path):
+    pad = 1 << 18
+    tiff = b"II*\0" + struct.pack("<I", 8 + pad) + b"\7" * pad + struct.pack("<HHHIHHI", 1, capture.ORIENTATION, 3, 1, 6, 0, 0)
+    block = b"II*\0" + struct.pack("<I", 8) + struct.pack("<HHHIHHI", 1, capture.ORIENTATION, 3, 1, 8, 0, 0)
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + b"\0" * 4
+    (tmp_path / "late.tif").write_bytes(tiff)
+    (tmp_path / "late.png").write_bytes(b"\x89PNG\r\n\x1a\n" + chunk(b"IDAT", bytes(pad)) + chunk(b"eXIf", block))
+    got = {r["path"][-8:]: r["orientation"] for r in images.headers(images.image_files(spark, str(tmp_path))).collect()}
+    assert got == {"late.tif": 6, "late.png": 8}
+
+
 def us(*parts, micro=0):
     return int(datetime(*parts, tzinfo=timezone.utc).timestamp()) * 10**6 + micro
 
