@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are the matches of three patterns; their values' hashes are counted over the corpus by distinct repositories
-and distinct owners. A value that at least COPIED_OWNERS owners or COPIED_REPOSITORIES repositories hold is a widely
-copied example (kind `copied`); one that belongs to fewer and looks live, by length and variety of characters and by not
-holding a placeholder word, is an owner's credential (kind `live`). Either adds a span over the value to the base spans.
+and distinct owners. A value that at least COPIED_OWNERS owners hold, or COPIED_REPOSITORIES repositories of more than one
+owner, is a widely copied example (kind `copied`); one that belongs to fewer and looks live, by length and variety of
+characters and by not holding a placeholder word, is an owner's credential (kind `live`), however often that owner
+repeats it. Either adds a span over the value to the base spans.
 
 Positions are code points: the texts between matches and the matches themselves are measured in turn.
 
@@ -57,10 +58,9 @@ def candidates(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ownership(found: DataFrame, owner: str, repository: str) -> DataFrame:
-    """By value hash: how many distinct repositories and owners hold it."""
-    each = found.select("value_hash", F.col(owner).alias("owner"), F.col(repository).alias("repository")).distinct()
-    by_owner = each.groupBy("value_hash", "owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value_hash").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
+    """By value hash: how many distinct repositories and owners hold it; a repository under several owners counts once, null as one."""
+    each = lambda c, n: found.select("value_hash", F.col(c).alias("x")).distinct().groupBy("value_hash").agg(F.count("*").alias(n))
+    return each(repository, "n_repositories").join(each(owner, "n_owners"), "value_hash")
 
 
 def _live(value: Column) -> Column:
@@ -81,7 +81,7 @@ def marked(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
     found = base.where(F.size("base") > 0).select("row_key", "owner", "repository", F.explode("base").alias("span"))
     found = found.select("row_key", "owner", "repository", "span", F.sha2(F.col("span.value"), 256).alias("value_hash"))
     known = ownership(found, "owner", "repository")
-    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_repositories") >= COPIED_REPOSITORIES)
+    copied = (F.col("n_owners") >= COPIED_OWNERS) | (F.col("n_owners") > 1) & (F.col("n_repositories") >= COPIED_REPOSITORIES)
     kind = F.when(copied, "copied").when(_live(F.col("span.value")), "live")
     added = F.struct(
         (F.col("span.end") - F.char_length("span.value")).alias("start"), F.when(kind == "copied", 3).otherwise(4).alias("order"),
@@ -150,8 +150,8 @@ WITH d AS (SELECT row_number() OVER () AS n, doc_id, source, coalesce(text, '')
 b AS (SELECT d.n, doc_id, source, list_sort(list_concat(list_filter(a.s, lambda x: length(x.value) >= {ASSIGN_LEAST}), c.s, h.s)) AS base
       FROM d JOIN assign a ON a.n = d.n JOIN access c ON c.n = d.n JOIN hex h ON h.n = d.n),
 e AS (SELECT n, doc_id, source, unnest(base) AS x FROM b),
-k AS (SELECT x.value AS value, count(DISTINCT doc_id) AS n_repositories, count(DISTINCT source) AS n_owners FROM e GROUP BY 1),
-m AS (SELECT n, x."end" AS e, length(x.value) AS w, CASE WHEN n_owners >= {COPIED_OWNERS} OR n_repositories >= {COPIED_REPOSITORIES} THEN 'copied'
+k AS (SELECT x.value AS value, count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) AS n_repositories, count(DISTINCT source) + max((source IS NULL)::INT) AS n_owners FROM e GROUP BY 1),
+m AS (SELECT n, x."end" AS e, length(x.value) AS w, CASE WHEN n_owners >= {COPIED_OWNERS} OR n_owners > 1 AND n_repositories >= {COPIED_REPOSITORIES} THEN 'copied'
         WHEN length(value) >= {LIVE_CHARS} AND len(list_distinct(string_split(value, ''))) >= {LIVE_KINDS} AND regexp_matches(value, '[0-9]') AND NOT regexp_matches(lower(value), '{PLACEHOLDER}') THEN 'live' END AS kind
       FROM e JOIN k ON k.value = e.x.value),
 a AS (SELECT n, list(DISTINCT {{'start': (e - w)::INT, 'order': CASE kind WHEN 'copied' THEN 3 ELSE 4 END, 'end': e, 'kind': kind, 'value': ''}}) AS added FROM m WHERE kind IS NOT NULL GROUP BY n)
