@@ -7,8 +7,8 @@ last resort is 8 bits). Statistics stay frozen while texts are scored, so a text
 of a function of the byte and the ORDER bytes before it; the language of least length wins. A-Z count as a-z, and a
 text is taken to follow ORDER line feeds.
 
-The trees are learned from a bounded sample: of the labelled documents whose crc32(doc_id as text) mod 3 is not 1, about
-SAMPLE_ROWS a language, chosen by a hash of doc_id, of at most SAMPLE_CHARS characters each.
+The trees are learned from a bounded sample: of the labelled documents whose crc32(doc_id as text) mod 3 is not 1, at
+most SAMPLE_ROWS a language, chosen by a hash of doc_id, and the first SAMPLE_CHARS characters of each.
 
 Cases: a null text, an empty one, one without a letter, and every text if nothing could be learned, get `und` with score
 0. The score is the winner's share of probability, 2 ** -bits over the sum for all languages; ties go to the language
@@ -111,11 +111,12 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, o
     counts = {r["lang"]: r["n"] for r in from_ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Trees({}, order)
-    rank = (F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))).alias("rank")
+    rank = (F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40)))
+    # about 2 * rows of each language, the same share of each first; the order settles which ones are taken
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * rows / n))])
-    chosen = from_ids.select("lang", "text", rank).where((F.col("rank") < share[F.col("lang")]) & (F.char_length("text") <= chars))
+    chosen = from_ids.select("lang", F.substring("text", 1, chars).alias("text"), (rank / share[F.col("lang")]).alias("rank"), "doc_id").where("rank < 1 AND text IS NOT NULL")
     texts: dict[str, list[str]] = {}
-    for r in sorted(chosen.limit(4 * rows * len(counts)).collect(), key=lambda r: (r["rank"], r["text"])):
+    for r in chosen.orderBy("rank", "doc_id", "text").limit(4 * rows * len(counts)).collect():
         if len(texts.setdefault(r["lang"], [])) < rows:
             texts[r["lang"]].append(r["text"])
     return Trees(texts, order)
