@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import hashlib
 import os
 import tempfile
 import uuid
@@ -22,11 +24,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a local one, for a local master only."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + os.path.join(tempfile.gettempdir(), "quarry-shared")
-        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
@@ -34,17 +37,29 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back, so that later stages need no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the tables that `cut` has written so far. To be called when the results that read them are stored."""
+    jvm = spark.sparkContext._jvm
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions(df: DataFrame) -> int:
     """How many partitions a shuffle of df's rows should have: its scan's, or the session's if more."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
 
 
 def passes(batches: Iterator[pa.RecordBatch], column: str, limit: int = PASS_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about `limit` bytes of `column`."""
+    """The same rows in batches of about `limit` bytes of `column`. Gives memory back at the end: Python workers outlive their task."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -53,6 +68,17 @@ def passes(batches: Iterator[pa.RecordBatch], column: str, limit: int = PASS_BYT
         edges = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
             yield batch.slice(a, b - a)
+        del batch
+    release()
+
+
+def release() -> None:
+    """Return what the allocators hold beyond need to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,18 +103,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASE = 0x9E3779B97F4A7C15
-_UNBASE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Longer words are hashed one by one.
+LONG_WORD = 512
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1) modulo 2 ** 64."""
-    if len(_powers.get(base, ())) < n:
-        x = np.full(max(n, 1 << 16), base, np.uint64)
-        x[0] = 1
-        _powers[base] = np.multiply.accumulate(x)
-    return _powers[base][:n]
+def eights(data: np.ndarray) -> np.ndarray:
+    """From each place, the next 8 bytes as a number, the first lowest; bytes after the end are 0."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data),), "<u8", padded.data, 0, (1,))
 
 
 _SPACE = np.zeros(256, bool)
@@ -98,7 +122,10 @@ _LOWER[65:91] += 32
 
 
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z, and the n + 1 offsets of the texts in them."""
+    """64-bit hashes of the words `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z, and the n + 1 offsets of the texts in them.
+
+    Eight bytes at a time are mixed into a word's hash; no sum over bytes takes part, so words can't be made to cancel out.
+    """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
@@ -113,10 +140,29 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     after[:-1] = gap[1:]
     after[inner - 1] = True
     start, end = np.flatnonzero(~gap & before), np.flatnonzero(~gap & after)
-    total = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers(_BASE, n))
-    low = np.where(start > 0, total[start - 1], np.uint64(0))
-    h = (total[end] - low) * powers(_UNBASE, n)[start]
-    return mix(h ^ ((end - start + 1).astype(np.uint64) << np.uint64(48))), np.searchsorted(start, offsets)
+    low = _LOWER[data]
+    eight = eights(low)
+    size = end - start + 1
+    h = mix(size.astype(np.uint64) + _STEP)
+    at, left, who = start, size, None
+    long = np.flatnonzero(size > LONG_WORD)
+    for i in long.tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(low[start[i] : end[i] + 1].tobytes(), digest_size=8).digest(), "little")
+    if len(long):
+        who = np.flatnonzero(size <= LONG_WORD)
+        at, left = start[who], size[who]
+    while len(at):
+        block = eight[at]
+        short = left < 8
+        block[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        if who is None:
+            h = mix((h ^ block) + _STEP)
+        else:
+            h[who] = mix((h[who] ^ block) + _STEP)
+        more = np.flatnonzero(left > 8)
+        who = more if who is None else who[more]
+        at, left = at[more] + 8, left[more] - 8
+    return h, np.searchsorted(start, offsets)
 
 
 def shingles(hashes: np.ndarray, at: np.ndarray, q: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,5 +175,5 @@ def shingles(hashes: np.ndarray, at: np.ndarray, q: int) -> tuple[np.ndarray, np
     h = width.astype(np.uint64)
     for k in range(q):
         has = width > k
-        h[has] = mix(h[has] * np.uint64(_BASE) + hashes[first[has] + k])
+        h[has] = mix(h[has] * _STEP + hashes[first[has] + k])
     return h, out_at

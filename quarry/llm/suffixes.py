@@ -1,19 +1,21 @@
 """Suffix-array dedup: bytes covered by a 50-byte string that also starts in a document with a smaller doc_id.
 
-The suffix array is sparse: it holds the suffixes at anchors only, places whose 16-byte string has the least hash among
-those of some 50-byte window. A window's content decides its anchor, so equal windows have equal anchors at equal
-offsets, and about one place in 18 is one. Splitters sampled from some documents' anchors range-partition the suffixes by
-their leading 8 bytes; each bucket sorts its suffixes by anchor string, context and document (a multikey sort), which
-brings equal ones together, and equal leading bytes never lie on two sides of a bucket's boundary.
+The suffix array holds the suffixes at token starts. A token is 16 bytes long, and starts where its hash is the least
+of those in some 50-byte window; so the text alone, not its place, decides where tokens start, equal windows have equal tokens at
+equal offsets, every window has one, and about one place in 18 is one.
 
-A suffix carries a hash of its context, the bytes from 34 before the anchor (where a window that holds it can begin) to
-50 after (where one can end), within the document. All windows of a context that an earlier document has too are
-repeated, so its bytes go. What is left are the first documents of each context; where contexts agree on one side of the
-same anchor (17 more bytes before or after), their windows are compared one by one: by hash, the first document of each
-window is found, and later ones lose it.
+Splitters sampled from some documents range-partition the suffixes by their leading token, in byte order, and by their context
+where one token is so frequent that splitters fall within it. Each bucket sorts its suffixes by multikey quicksort: by the
+first 8 bytes, then, only those that are still equal, by the next 8, then by their context, then by document. The context is the bytes
+from 34 before the token (where a window that holds it can begin) to 50 after its start (where one can end), within the
+document; it takes part by 96 bits of hash beside the token's own 128 bits.
 
-Only the text's join with what was found moves whole texts. Equality of contexts is that of an anchor's 32 bits and a
-context's 48 bits of hash, that of windows is 64 bits.
+All windows of a context that an earlier document has too are repeated, so its bytes go. What is left are the first
+documents of each context; where contexts agree on one side of the same token (17 more bytes before or after), their
+windows are compared one by one, byte by byte: the first document of each window stays, later ones lose it. A token that several
+buckets share is compared across their boundaries: the first documents of its contexts meet again by token and side.
+
+Only the text's join with what was found moves whole texts.
 
 Cases: a null text counts as empty; texts under 50 bytes lose nothing; a null doc_id is smaller than any; rows with one
 doc_id never repeat each other; equal rows give equal rows; an empty table gives no rows.
@@ -30,34 +32,46 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _BASE, _UNBASE, cut, documents, flat, mix, partitions, passes, powers
+from .common import _STEP, cut, documents, eights, flat, mix, partitions, passes
 
 MATCH = 50
 ANCHOR = 16
-BEFORE = MATCH - ANCHOR  # places of a window's start before an anchor in it
-SIDE = ANCHOR + BEFORE // 2  # of any window, this many bytes from its anchor on or up to its anchor's end lie in it
+BEFORE = MATCH - ANCHOR  # places of a window's start before a token in it
+SIDE = ANCHOR + BEFORE // 2  # of any window, this many bytes from its token on or up to its token's end lie in it
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_CHARS = 4000
 #: Bytes of text at a time; arrays of 8-byte numbers are made of each.
 PASS = 2 << 20
 
 
-class Hashes:
-    """64-bit hashes of any substring of some bytes, from running sums."""
+def token_hashes(eight: np.ndarray) -> np.ndarray:
+    """32 bits of hash of the 16 bytes from each place; they choose and deal tokens, and make nothing equal."""
+    n = max(len(eight) - ANCHOR + 1, 0)
+    eight = np.ascontiguousarray(eight)
+    h = eight[:n] * _STEP
+    h ^= h >> np.uint64(29)
+    h += eight[ANCHOR - 8 : ANCHOR - 8 + n]
+    h *= _STEP
+    h >>= np.uint64(32)
+    return h.astype(np.uint32)
+
 
-    def __init__(self, data: np.ndarray):
-        n = len(data)
-        self.total = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, n), out=self.total[1:])
-        self.undo = powers(_UNBASE, n + 1)
+#: Odd multipliers of the hashes of a context, and of a side.
+_BY = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 
-    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix((self.total[b] - self.total[a]) * self.undo[a])
 
-    def every(self, size: int) -> np.ndarray:
-        """Of all substrings of that size, by start."""
-        n = len(self.total) - size
-        return mix((self.total[size:] - self.total[:n]) * self.undo[:n]) if n > 0 else np.zeros(0, np.uint64)
+def span_hashes(eight: np.ndarray, a: np.ndarray, b: np.ndarray, most: int, by: tuple = _BY) -> list[np.ndarray]:
+    """Hashes of the bytes a to b (8 to most), one for each multiplier: 8 bytes at a time, the last 8 as often as spans of `most` have more."""
+    size = (b - a).astype(np.uint64)
+    out = [mix(size + m) for m in by]
+    last = b - 8
+    for k in range(0, most, 8):
+        block = eight[np.minimum(a + k, last)]
+        for h, m in zip(out, by):
+            h ^= block
+            h *= m
+            h ^= h >> np.uint64(29)
+    return [mix(h) for h in out]
 
 
 def _sliding(x: np.ndarray, w: int, f) -> np.ndarray:
@@ -69,33 +83,77 @@ def _sliding(x: np.ndarray, w: int, f) -> np.ndarray:
     return f(x[: len(x) - (w - k)], x[w - k :]) if w > k else x
 
 
-def anchors(offsets: np.ndarray, hashes: Hashes) -> np.ndarray:
-    """Places whose string has the least hash in some 50-byte window within one text (all that are equal to the least)."""
-    h = (hashes.every(ANCHOR) >> np.uint64(32)).astype(np.uint32)
+def anchors(offsets: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places whose token has the least hash in some 50-byte window within one text (all that are equal to the least)."""
+    h = hashes
     w = BEFORE + 1
     n = int(offsets[-1])
     if n < MATCH:
         return np.zeros(0, np.int64)
-    least = _sliding(h, w, np.minimum).astype(np.int64)  # by window start 0 .. n - MATCH
-    # a window that begins less than MATCH before a text's end runs over it
-    over = np.zeros(n + 1, np.int64)
-    np.add.at(over, np.maximum(offsets[1:] - MATCH + 1, offsets[:-1]), 1)
-    np.add.at(over, offsets[1:], -1)
-    least[np.cumsum(over)[: len(least)] > 0] = -1
-    padded = np.full(len(h) + w - 1, -1, np.int64)
+    # of the windows that hold a token, the greatest least hash; one that runs over a text's end counts for nothing
+    least = _sliding(h, w, np.minimum)
+    padded = np.zeros(len(h) + w - 1, np.uint32)
     padded[w - 1 : w - 1 + len(least)] = least
-    return np.flatnonzero(_sliding(padded, w, np.maximum)[: len(h)] == h)
-
-
-def leading(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The first 8 bytes from each place, as a number in byte order."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        out = out << np.uint64(8) | data[at + k].astype(np.uint64)
-    return out
-
-
-SUFFIX = np.dtype([("h", "<u4"), ("context", "<u8"), ("right", "<u2"), ("left", "<u2"), ("text", "<u2"), ("at", "<u4")])
+    whole = np.zeros(len(padded), bool)
+    whole[w - 1 : w - 1 + len(least)] = True
+    for a, b in zip(np.maximum(offsets[1:] - MATCH + 1, offsets[:-1]).tolist(), offsets[1:].tolist()):
+        padded[w - 1 + a : w - 1 + b] = 0
+        whole[w - 1 + a : w - 1 + b] = False
+    found = np.flatnonzero(_sliding(padded, w, np.maximum)[: len(h)] == h)
+    zero = h[found] == 0  # a hash of 0 is the least of any window; see that there is one
+    if zero.any():
+        count = np.concatenate([[0], np.cumsum(whole)])
+        found = found[~zero | (count[found + w] > count[found])]
+    return found
+
+
+def leading(eight: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The token's 16 bytes from each place, as two numbers whose order is that of the bytes; one row each."""
+    return np.stack([eight[at].byteswap(), eight[at + 8].byteswap()])
+
+
+def multikey_sort(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort: the order by the keys in turn, each of which sorts only what those before leave equal; and where, in that order, all keys change."""
+    n = len(keys[0])
+    order = np.argsort(keys[0], kind="stable")
+    first = keys[0][order]
+    new = np.ones(n, bool)
+    new[1:] = first[1:] != first[:-1]
+    for key in keys[1:]:
+        # places in the order that are equal to a neighbour so far
+        open_ = ~new
+        open_[:-1] |= ~new[1:]
+        at = np.flatnonzero(open_)
+        if not len(at):
+            break
+        group = np.cumsum(new[at])
+        mine = key[order[at]]
+        inner = np.lexsort((mine, group))
+        order[at] = order[at][inner]
+        mine = mine[inner]
+        new[at[1:]] |= mine[1:] != mine[:-1]
+    return order, new
+
+
+COLUMNS = ("<u8", "<u8", "<u8", "<u4", "<u2", "<u2", "<u2", "<u4")
+
+
+def _suffixes(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """The suffixes of texts (65,535 at most): token, as two numbers; context, as two hashes; right and left side; text; place."""
+    eight = np.ascontiguousarray(eights(data))
+    a = anchors(offsets, token_hashes(eight))
+    text = np.searchsorted(offsets, a, "right") - 1
+    begin, end = offsets[text], offsets[text + 1]
+    left, right = np.maximum(a - BEFORE, begin), np.minimum(a + MATCH, end)
+    cut_at = mix((a - left).astype(np.uint64))
+    contexts = [h ^ cut_at for h in span_hashes(eight, left, right, BEFORE + MATCH)]
+    sides = []
+    for x, y in ((a, a + SIDE), (a + ANCHOR - SIDE, a + ANCHOR)):
+        has = np.flatnonzero((x >= begin) & (y <= end))
+        side = np.zeros(len(a), np.uint16)
+        side[has] = (span_hashes(eight, x[has], y[has], SIDE, _BY[:1])[0] % np.uint64(65535) + np.uint64(1)).astype(np.uint16)
+        sides.append(side)
+    return [*leading(eight, a), contexts[0], (contexts[1] >> np.uint64(32)).astype("<u4"), *sides, text.astype("<u2"), (a - begin).astype("<u4")]
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -108,38 +166,47 @@ def from_planes(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
 
 
-def _suffixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The anchors' suffixes of texts (65,535 at most), and their leading bytes."""
-    hashes = Hashes(data)
-    a = anchors(offsets, hashes)
-    text = np.searchsorted(offsets, a, "right") - 1
-    begin, end = offsets[text], offsets[text + 1]
-    left, right = np.maximum(a - BEFORE, begin), np.minimum(a + MATCH, end)
-    out = np.zeros(len(a), SUFFIX)
-    out["h"] = (hashes(a, a + ANCHOR) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    out["context"] = mix(hashes(left, right) ^ ((a - left).astype(np.uint64) << np.uint64(32)) ^ (right - a).astype(np.uint64)) >> np.uint64(16)
-    for name, x, y in (("right", a, a + SIDE), ("left", a + ANCHOR - SIDE, a + ANCHOR)):
-        has = (x >= begin) & (y <= end)
-        out[name][has] = hashes(x[has], y[has]) % np.uint64(65535) + np.uint64(1)
-    out["text"], out["at"] = text, a - begin
-    return out, leading(data, a)
-
-
 def _splitters(docs: DataFrame, n: int) -> np.ndarray:
-    """Up to n - 1 leading keys that cut the anchors of a sample into equal parts."""
+    """Up to n - 1 rows (token, as two numbers, and context) that cut the suffixes of a sample into equal parts.
+
+    The context is 0 but where a token has more than a part, so that other tokens have a bucket each to themselves.
+    """
     rate = F.xxhash64("_did", "_hash").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
     count = docs.count()
     rows = docs.where(rate < min(1.0, SAMPLE_DOCUMENTS / max(count, 1))).select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * SAMPLE_DOCUMENTS).collect()
-    data, offsets = flat(pa.array([r["text"] for r in rows], pa.string()))
-    a = anchors(offsets, Hashes(data))
-    keys = np.sort(leading(data, a))
-    return np.unique(keys[np.arange(1, n) * len(keys) // n]) if len(keys) else keys
+    found = [np.stack(_suffixes(*flat(pa.array([r["text"] for r in rows[i : i + 200]], pa.string())))[:3]) for i in range(0, len(rows), 200)]
+    keys = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.uint64)
+    m = keys.shape[1]
+    if not m:
+        return keys
+    order, _ = multikey_sort(list(keys))
+    keys = keys[:, order]
+    cuts = keys[:, np.arange(1, n) * m // n]
+    same = (cuts[0, 1:] == cuts[0, :-1]) & (cuts[1, 1:] == cuts[1, :-1])
+    hot = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if cuts.shape[1] else np.zeros(0, bool)
+    cuts[2, ~hot] = 0
+    return np.unique(cuts, axis=1)
+
+
+def _bucket(splitters: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
+    """How many splitters each key (three numbers) is not less than."""
+    out = np.searchsorted(splitters[0], keys[0], "left")
+    for i in np.unique(splitters[0]):
+        at = np.flatnonzero(keys[0] == i)
+        if len(at):
+            mine = np.flatnonzero(splitters[0] == i)
+            for j in mine.tolist():
+                s = splitters[:, j]
+                out[at] += (keys[1][at] > s[1]) | ((keys[1][at] == s[1]) & (keys[2][at] >= s[2]))
+    return out
 
 
 def _entries(docs: DataFrame) -> DataFrame:
-    """By document, codes 2 * place + kind of anchors: kind 0, the whole context is repeated; kind 1, its windows are to be compared."""
+    """By document, codes 2 * place + kind of tokens: kind 0, the whole context is repeated; kind 1, its windows are to be compared."""
     n = partitions(docs)
     splitters = _splitters(docs, n)
+    within = splitters[:, splitters[2] > 0] if splitters.shape[1] else splitters
+    shared = set(zip(within[0].tolist(), within[1].tolist()))  # tokens that several buckets may hold
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -148,19 +215,21 @@ def _entries(docs: DataFrame) -> DataFrame:
                 data, offsets = flat(c.column("text"))
                 if len(data) < MATCH:
                     continue
-                rows, key = _suffixes(data, offsets)
-                bucket = np.searchsorted(splitters, key, "right")
-                order = np.lexsort((rows["context"], rows["h"], bucket))
-                rows, bucket = rows[order], bucket[order]
+                rows = _suffixes(data, offsets)
+                if not len(rows[0]):
+                    continue
+                order, _ = multikey_sort(rows[:3])
+                rows = [x[order] for x in rows]
+                bucket = _bucket(splitters, rows)
                 ids = np.stack([c.column("_did").to_numpy(zero_copy_only=False), c.column("_hash").to_numpy(zero_copy_only=False)])
                 starts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 blobs = []
-                for x, y in zip(starts.tolist(), [*starts.tolist()[1:], len(rows)]):
-                    part = rows[x:y]
-                    used, local = np.unique(part["text"], return_inverse=True)
-                    columns = [part[f] for f in ("h", "context", "right", "left")] + [local.astype("<u2"), part["at"], ids[0][used], ids[1][used]]
-                    columns[0] = np.diff(columns[0], prepend=np.uint32(0)).astype("<u4")  # they ascend
-                    blobs.append(len(part).to_bytes(4, "little") + pack(b"".join(planes(z) for z in columns)))
+                for x, y in zip(starts.tolist(), [*starts.tolist()[1:], len(bucket)]):
+                    part = [r[x:y] for r in rows]
+                    used, local = np.unique(part[6], return_inverse=True)
+                    part[0] = np.diff(part[0], prepend=np.uint64(0))  # they ascend
+                    part[6] = local.astype("<u2")
+                    blobs.append((y - x).to_bytes(4, "little") + pack(b"".join(planes(z) for z in [*part, ids[0][used], ids[1][used]])))
                 yield pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "suffixes"])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,43 +241,57 @@ def _entries(docs: DataFrame) -> DataFrame:
                 m = int.from_bytes(blob[:4], "little")
                 raw = unpack.decompress(blob[4:])
                 at, columns = 0, []
-                for kind in ("<u4", "<u8", "<u2", "<u2", "<u2", "<u4"):
+                for kind in COLUMNS:
                     columns.append(from_planes(raw, kind, m, at))
                     at += m * np.dtype(kind).itemsize
                 ids = np.stack([from_planes(raw, "<i8", (len(raw) - at) // 16, x) for x in (at, (len(raw) + at) // 2)])
-                text = columns[4]
-                held.append([np.cumsum(columns[0], dtype=np.uint32), *columns[1:4], ids[0][text], ids[1][text], columns[5]])
+                text = columns[6]
+                held.append([np.cumsum(columns[0], dtype=np.uint64), *columns[1:6], ids[0][text], ids[1][text], columns[7]])
         if not held:
             return
-        h, context, right, left, did, doc_hash, place = (np.concatenate(c) for c in zip(*held))
+        columns = [np.concatenate(c) for c in zip(*held)]
         held.clear()
-        order = np.lexsort((did, context, h))
-        h, context, right, left, did, doc_hash, place = (c[order] for c in (h, context, right, left, did, doc_hash, place))
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (context[1:] != context[:-1])
+        order, new = multikey_sort(columns[:4])
+        t0, t1, c0, _, right, left, did, doc_hash, place = (c[order] for c in columns)
+        del columns
         which = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        least = did[first]
+        least = np.minimum.reduceat(did, first)
         whole = did > least[which]
+        token = np.ones(len(first), bool)
+        token[1:] = (t0[first][1:] != t0[first][:-1]) | (t1[first][1:] != t1[first][:-1])
+        token = np.cumsum(token)
         compare = np.zeros(len(first), bool)
         for side in (right, left):
             s = side[first]
             has = np.flatnonzero(s)
-            key = h[first][has].astype(np.uint64) << np.uint64(16) | s[has]
+            key = token[has].astype(np.uint64) << np.uint64(16) | s[has]
             o = np.lexsort((least[has], key))
             k, d = key[o], least[has][o]
             starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, int)
             ends = np.concatenate([starts[1:], [len(k)]]) if len(k) else starts
             mixed = d[starts] < d[ends - 1] if len(k) else np.zeros(0, bool)
             compare[has[o]] |= np.repeat(mixed, ends - starts)
-        keep = whole | compare[which]
+        across = np.zeros(len(first), bool)
+        for x, y in shared:
+            across |= (t0[first] == np.uint64(x)) & (t1[first] == np.uint64(y))
+        across &= ~compare
+        keep = whole | (compare | across)[which]
         for a in range(0, len(keep), 1 << 20):
             k = np.flatnonzero(keep[a : a + (1 << 20)]) + a
             code = place[k].astype(np.int64) * 2 + ~whole[k]
-            yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(code)], ["_did", "_hash", "code"])
-
-    dealt = docs.mapInArrow(deal, "bucket int, suffixes binary").repartitionById(len(splitters) + 1, F.col("bucket"))
-    found = dealt.mapInArrow(sort, "_did long, _hash long, code long")
+            doubt = pa.array(~whole[k] & across[which[k]])
+            sides = [pa.array(mix(t0[k] ^ mix(t1[k] + x[k].astype(np.uint64) * _STEP)).view(np.int64), mask=x[k] == 0) for x in (right, left)]
+            yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(code), doubt, *sides], ["_did", "_hash", "code", "doubt", "right", "left"])
+
+    dealt = docs.mapInArrow(deal, "bucket int, suffixes binary").repartitionById(splitters.shape[1] + 1, F.col("bucket"))
+    found = dealt.mapInArrow(sort, "_did long, _hash long, code long, doubt boolean, right long, left long")
+    if shared:
+        found = cut(found, "codes")
+        doubt = found.where("doubt")
+        sides = [doubt.groupBy(s).agg(F.min("_did").alias("least"), F.max("_did").alias("most")).where(f"{s} IS NOT NULL AND least < most").select(s) for s in ("right", "left")]
+        mixed = [doubt.join(x, s, "left_semi").select("_did", "_hash", "code") for x, s in zip(sides, ("right", "left"))]
+        found = found.where("NOT doubt").select("_did", "_hash", "code").union(mixed[0].union(mixed[1]).distinct())
     return found.groupBy("_did", "_hash").agg(F.collect_list("code").alias("codes"))
 
 
@@ -225,7 +308,7 @@ def _later_windows(df: DataFrame, n: int) -> DataFrame:
             text = np.repeat(np.arange(len(places)), [len(c) for c in places])
             at = np.concatenate(places)
             a = at + offsets[text]
-            h = Hashes(data)(a, a + ANCHOR)
+            h = token_hashes(eights(data))[a]
             left, right = np.minimum(at, BEFORE), np.minimum(offsets[text + 1] - a, MATCH)
             bucket = (h >> np.uint64(32)) % np.uint64(n)
             order = np.lexsort((h, bucket))
@@ -263,13 +346,13 @@ def _later_windows(df: DataFrame, n: int) -> DataFrame:
             has = rows[(s >= BEFORE - left.astype(np.int64)) & (s + MATCH <= BEFORE + right.astype(np.int64))]
             if not len(has):
                 continue
-            h = Hashes(np.ascontiguousarray(around[has, s : s + MATCH]).ravel())(np.arange(len(has)) * MATCH, np.arange(1, len(has) + 1) * MATCH)
-            order = np.lexsort((did[has], h))
-            new = np.ones(len(h), bool)
-            new[1:] = h[order][1:] != h[order][:-1]
+            # a window's bytes as seven numbers, the last of which overlaps
+            window = np.ascontiguousarray(around[has, s : s + MATCH])
+            keys = [np.ascontiguousarray(window[:, x : x + 8]).view(">u8").ravel().astype(np.uint64) for x in (*range(0, MATCH - 8, 8), MATCH - 8)]
+            order, new = multikey_sort(keys)
             d = did[has][order]
-            later = has[order[d > d[np.flatnonzero(new)][np.cumsum(new) - 1]]]
-            bits[later] |= 1 << s
+            least = np.minimum.reduceat(d, np.flatnonzero(new))
+            bits[has[order[d > least[np.cumsum(new) - 1]]]] |= 1 << s
         for a in range(0, len(at), 1 << 20):
             k = np.flatnonzero(bits[a : a + (1 << 20)]) + a
             yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(at[k].astype(np.int64)), pa.array(bits[k])], ["_did", "_hash", "place", "bits"])
