@@ -1,6 +1,6 @@
 """The corpus pipeline: from documents to packed training sequences in five stages.
 
-1. language: texts without a letter go, and those that cost more than their bytes in every language.
+1. language: texts without a letter go, and those that cost more than their bytes in every language (if any could be learned).
 2. line_dedup: later copies of maximal repeated line runs are deleted; a text of which nothing is left goes.
 3. jaccard: of each group of near duplicates (five-word shingles, 0.8) the document with the smallest doc_id stays.
 4. secrets: owner-specific live-looking credentials are replaced by a mark.
@@ -28,12 +28,15 @@ def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.identify(docs, language.learn(docs))
+    trees = language.learn(docs)
+    if not trees.names:  # nothing is labelled, so no text is in the wrong language
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, trees)
     return found.where((F.col("lang_pred") != language.NONE) & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.dedup_lines(docs, whole=True).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    kept = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _counted(kept, docs.columns)
 
 
