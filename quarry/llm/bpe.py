@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,10 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents, passes
 
 END = "</w>"
-#: Words that a Python worker keeps encoded; beyond, it begins anew.
-KEPT_WORDS = 250_000
-#: Letters that normalise to themselves or their lower case alone, then punctuation: the words of most pieces of text.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+#: Words whose ids a Python worker keeps, at most; half of them go at a time, those not met since the last such time.
+KEPT_WORDS = 400_000
+#: Letters that normalise to themselves or their lower case alone, and punctuation that is one word after them.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+SIMPLE = rf"^[{LETTERS}]*[{re.escape(PUNCTUATION)}]*$"
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 
 
@@ -50,22 +53,92 @@ def byte_letters() -> list[str]:
 LATIN = {ord(c): "".join(byte_letters()[b] for b in c.encode()) for c in map(chr, range(192, 256))}
 
 
-def simple(chunk: str) -> list[str] | None:
-    """The words, in byte letters, of a piece of letters and punctuation; None if it takes more care."""
-    m = SIMPLE.fullmatch(chunk)
-    if m is None:
-        return None
-    a, b = m.groups()
-    if a:
-        a = a.lower()
-        if not a.isascii():
-            a = a.translate(LATIN)
-        return [a, b] if b else [a]
-    return [b] if b else []
+def places(texts: pa.Array) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+    """Distinct words, distinct other pieces, what each place of the texts is, and the n + 1 offsets of the texts there.
 
+    A piece between ASCII white space of letters, then punctuation, is two places (words, lower case); any other piece
+    is one, and a place that holds nothing. Places number the words, then the other pieces, then nothing.
+    """
+    texts = texts.cast(pa.large_string())
+    lists = pc.ascii_split_whitespace(texts.fill_null("") if texts.null_count else texts)
+    offsets = lists.offsets.to_numpy()
+    coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    pieces, which = coded.dictionary, coded.indices.to_numpy()
+    easy = pc.match_substring_regex(pieces, SIMPLE)
+    some = pieces.filter(easy)
+    ends = pc.utf8_ltrim(some, characters=ALPHABET)
+    words = pa.concat_arrays([pc.utf8_lower(pc.utf8_rtrim(some, characters=PUNCTUATION)), ends]).dictionary_encode()
+    other = pieces.filter(pc.invert(easy)).to_pylist()
+    easy = easy.to_numpy(zero_copy_only=False)
+    n = len(words.dictionary)
+    both = np.full((len(pieces), 2), n + len(other), np.int64)
+    both[easy] = words.indices.to_numpy().reshape(2, -1).T
+    both[~easy, 0] = n + np.arange(len(other))
+    return words.dictionary.to_pylist(), other, both[which].ravel(), 2 * (offsets - offsets[0])
+
+
+ALPHABET = "".join(c for c in map(chr, range(256)) if re.match(f"[{LETTERS}]", c))
+
+
+class TextIds:
+    """Ids of whole texts from those of their distinct words; a word's ids are kept from text to text."""
 
-class TrieEncoder:
+    def __init__(self):
+        self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids, as unsigned 32-bit numbers, of distinct words in byte letters."""
+        raise NotImplementedError
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces that are more than a word."""
+        raise NotImplementedError
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        kept, older = self.kept, self.older
+        new = [w for w in words if w not in kept]
+        if len(kept) + len(new) > KEPT_WORDS // 2:
+            self.older = older = kept
+            self.kept = kept = {}
+            new = words
+        out, unknown = {}, []
+        for w in new:
+            ids = older.get(w)
+            if ids is None:
+                unknown.append(w)
+            else:
+                out[w] = ids
+        written = {w if w.isascii() else w.translate(LATIN): w for w in unknown}
+        for w, ids in self.encode_words([w for w in written if w]).items():
+            out[written[w]] = ids
+        out[""] = b""
+        codes = [out[w] if w in out else kept[w] for w in words]
+        kept.update((w, ids) for w, ids in out.items() if len(w) <= 200)
+        return codes
+
+    def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids (each with the end id after it, if given), and the n + 1 offsets of the texts there."""
+        words, other, at_place, at = places(texts)
+        codes = [*self.of_words(words), *self.encode_pieces(other), b""]
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        size = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+        each = size[at_place]
+        done = np.concatenate([[0], np.cumsum(each)])
+        out = ids[np.repeat(begin[at_place] - done[:-1], each) + np.arange(done[-1])]
+        offsets = done[at]
+        if end is not None:
+            n = len(offsets) - 1
+            spaced = np.full(len(out) + n, end, "<u4")
+            spaced[np.arange(len(out)) + np.repeat(np.arange(n), np.diff(offsets))] = out
+            out, offsets = spaced, offsets + np.arange(n + 1)
+        return out, offsets
+
+
+class TrieEncoder(TextIds):
     def __init__(self, path: str):
+        super().__init__()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -78,11 +151,11 @@ class TrieEncoder:
         self.text = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.inner = {t: i for t, i in self.vocab.items() if not t.endswith(END)}
         self.last = {t[: -len(END)]: i for t, i in self.vocab.items() if t.endswith(END)}
-        self.tails = [{t[k:] for t in d for k in range(len(t))} for d in (self.inner, self.last)]
+        self.heads = {t[:k] for d in (self.inner, self.last) for t in d for k in range(1, len(t) + 1)}
         self.letters = byte_letters()
         self.spines: dict[int, tuple | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.kept: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.steps: dict[str, tuple[str, tuple, tuple]] = {}
 
     def spine(self, token: int) -> tuple | None:
         """How the token's first and last part grow while it is built: [(part, merge rank)] for each; None if it is not its own encoding."""
@@ -105,11 +178,8 @@ class TrieEncoder:
         return self.spines[token]
 
     def follows(self, a: int, b: int) -> bool:
-        """Whether b may come right after a in an encoding."""
-        key = a << 20 | b
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.pairs[key] = self._follows(a, b)
+        """Whether b may come right after a (-1: the word's start) in an encoding."""
+        known = self.pairs[a << 20 | b] = self._follows(a, b) if a >= 0 else self.spine(b) is not None
         return known
 
     def _follows(self, a: int, b: int) -> bool:
@@ -131,47 +201,65 @@ class TrieEncoder:
             else:
                 j += 1
 
-    def state(self, word: str, d: int, states: list[tuple[int, int]], end: bool) -> tuple[int, int]:
-        """The last token, and its length, of the first d letters' encoding."""
-        vocab, tails = (self.last, self.tails[1]) if end else (self.inner, self.tails[0])
-        found = []
-        n = 1
-        while n <= d:
-            s = word[d - n : d]
-            if s not in tails:
-                break
-            t = vocab.get(s)
-            if t is not None:
-                found.append((t, n))
-            n += 1
-        for t, n in reversed(found):
-            if n == d:
-                if self.spine(t) is not None:
-                    return t, n
-            elif self.follows(states[d - n][0], t):
-                return t, n
-        raise ValueError(f"no token ends at {d} in {word!r}")
-
-    def encode_words(self, words: Iterable[str]) -> dict[str, tuple[int, ...]]:
-        """The ids of distinct words, written in byte letters."""
-        out: dict[str, tuple[int, ...]] = {}
-        before, states = "", [(0, 0)]
+    def step(self, letters: str) -> tuple[str, tuple, tuple]:
+        """The longest end of these letters that begins a token, and the tokens (id, length) that are an end of it, longest first:
+        those within a word, and those that end one."""
+        s = letters
+        while s not in self.heads:
+            s = s[1:]
+        ends = [s[k:] for k in range(len(s))]
+        out = self.steps[letters] = s, *(tuple((d[e], len(e)) for e in ends if e in d) for d in (self.inner, self.last))
+        return out
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of distinct words, written in byte letters, by a walk through their trie."""
+        if len(self.pairs) > 1_000_000:
+            self.pairs.clear()
+        if len(self.steps) > 1_000_000:
+            self.steps.clear()
+        pairs, steps, step, follows = self.pairs, self.steps, self.step, self.follows
+        out: dict[str, bytes] = {}
+        before = ""
+        # by prefix of the word at hand: last token, its length, and what goes on from there
+        tokens, sizes, nodes = [-1], [0], [("", (), ())]
         for w in sorted(words):
             same = 0
             for x, y in zip(before, w):
                 if x != y:
                     break
                 same += 1
-            del states[min(same, len(w) - 1) + 1 :]
-            for d in range(len(states), len(w)):
-                states.append(self.state(w, d, states, False))
-            t, n = self.state(w, len(w), states, True)
+            del tokens[same + 1 :], sizes[same + 1 :], nodes[same + 1 :]
+            node = nodes[-1]
+            for d in range(same, len(w)):
+                key = node[0] + w[d]
+                node = steps.get(key) or step(key)
+                for t, n in node[1]:
+                    a = tokens[d + 1 - n]
+                    ok = pairs.get(a << 20 | t)
+                    if ok is None:
+                        ok = follows(a, t)
+                    if ok:
+                        break
+                else:
+                    raise ValueError(f"no token ends at {d + 1} in {w!r}")
+                tokens.append(t)
+                sizes.append(n)
+                nodes.append(node)
+            for t, n in node[2]:
+                a = tokens[len(w) - n]
+                ok = pairs.get(a << 20 | t)
+                if ok is None:
+                    ok = follows(a, t)
+                if ok:
+                    break
+            else:
+                raise ValueError(f"no token ends {w!r}")
             ids, d = [t], len(w) - n
             while d:
-                t, n = states[d]
-                ids.append(t)
-                d -= n
-            out[w] = tuple(reversed(ids))
+                ids.append(tokens[d])
+                d -= sizes[d]
+            ids.reverse()
+            out[w] = array("I", ids).tobytes()
             before = w
         return out
 
@@ -195,31 +283,10 @@ class TrieEncoder:
                     out += [p if p.isprintable() else "".join([letters[ord(c)] for c in p]) for p in PIECES.findall(part)]
         return out
 
-    def chunks(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, str]]:
-        """Ids, ids as text and decoded text of distinct chunks."""
-        cut = [simple(c) for c in chunks]
-        cut = [self.pieces(c) if x is None else x for c, x in zip(chunks, cut)]
-        words = {p for ps in cut for p in ps if isinstance(p, str)}
-        kept = self.kept
-        new = [w for w in words if w not in kept]
-        if len(kept) + len(new) > KEPT_WORDS:
-            kept.clear()
-            self.pairs = self.pairs if len(self.pairs) < 1_000_000 else {}
-            new = list(words)
-        text = self.text
-        for w, ids in self.encode_words(new).items():
-            kept[w] = (ids, " ".join(map(str, ids)), " ".join([text[i] for i in ids]))
-        out = []
-        for ps in cut:
-            if len(ps) == 1 and isinstance(ps[0], str):
-                out.append(kept[ps[0]])
-            else:
-                parts = [kept[p] if isinstance(p, str) else ((p,), str(p), text[p]) for p in ps]
-                out.append((tuple(i for x in parts for i in x[0]), " ".join([x[1] for x in parts]), " ".join([x[2] for x in parts])))
-        for w in new:
-            if len(w) > 200:
-                del kept[w]
-        return out
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        cut = [self.pieces(c) for c in pieces]
+        known = self.encode_words({p for ps in cut for p in ps if isinstance(p, str)})
+        return [b"".join([known[p] if isinstance(p, str) else array("I", [p]).tobytes() for p in ps]) for ps in cut]
 
 
 _encoders: dict[str, TrieEncoder] = {}
@@ -231,15 +298,6 @@ def encoder(path: str) -> TrieEncoder:
     return _encoders[path]
 
 
-def distinct_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct pieces between ASCII white space, each place's piece, and the n + 1 offsets of the texts in the places."""
-    texts = texts.cast(pa.large_string())
-    lists = pc.ascii_split_whitespace(texts.fill_null("") if texts.null_count else texts)
-    offsets = lists.offsets.to_numpy()
-    coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), offsets - offsets[0]
-
-
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -250,22 +308,15 @@ def encode_documents(df: DataFrame, path: str | None = None, key: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
+        written = [pa.array([f(i) for i in range(max(coder.text) + 1)], pa.large_string()) for f in (str, lambda i: coder.text.get(i, ""))]
         for b in passes(batches, text):
-            chunks, which, at = distinct_chunks(b.column(text))
-            coded = coder.chunks(chunks)
-            sizes = np.array([len(x[0]) for x in coded], np.int64)
-            has = sizes[which] > 0
-            total = np.concatenate([[0], np.cumsum(sizes[which])])[at]
-            numbers, decoded = [x[1] for x in coded], [x[2] for x in coded]
-            where, ends = which[has].tolist(), np.concatenate([[0], np.cumsum(has)])[at].tolist()
-            columns = [
-                b.column(key).cast(pa.int64()),
-                pa.array(np.diff(total)),
-                pa.array([hashlib.sha256(" ".join([numbers[i] for i in where[x:y]]).encode()).hexdigest() for x, y in zip(ends, ends[1:])], pa.string()),
-                pa.array([hashlib.sha256(" ".join([decoded[i] for i in where[x:y]]).encode()).hexdigest() for x, y in zip(ends, ends[1:])], pa.string()),
-            ]
+            ids, at = coder(b.column(text))
+            columns = [b.column(key).cast(pa.int64()), pa.array(np.diff(at))]
+            for names in written:
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), names.take(pa.array(ids))), pa.scalar(" ", pa.large_string()))
+                columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in joined.cast(pa.large_binary()).to_pylist()], pa.string()))
             if keep_ids:
-                columns.append(pa.array([[t for i in where[x:y] for t in coded[i][0]] for x, y in zip(ends, ends[1:])], pa.list_(pa.int32())))
+                columns.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
 
     return df.select(key, text).mapInArrow(run, schema)
