@@ -3,8 +3,13 @@
 Each task packs the documents of its own input partition, in order, so nothing is shuffled and a lost task packs the
 same again. A document's full windows are cut off first; the rest goes to the fill level h for which the sum over
 levels of the squared number of windows at that level grows least (a new window is level 0; ties go to the fuller
-window). Windows still open at the end of a task are cut anew: their pieces, in order, fill whole windows, and what is
-left over goes to sequences whose lengths are powers of two, largest first, which need no padding.
+window). At most one window for OPEN_EACH documents so far is open (OPEN_LEAST at least, OPEN_MOST at most, which bounds
+memory). Where the document fits in no window and no other may be opened, it is cut: it fills up the window, and begins
+one, for which the sum of squares grows least. Windows still open at the end of a task are closed: the fullest take
+from the emptiest what they lack, and the last one is cut into powers of two, so nothing is padded.
+
+Column how: `full`, a whole window of one document; `level`, where the level array placed it; `closed`, moved or cut as
+the task's last open windows were closed.
 
 Cases: a null text counts as empty and is one token, the end-of-document id; a long document spans many windows;
 repeated rows are packed each; an empty table gives no rows. sequence_id is the partition's number times 2 ** 32 plus the
@@ -22,150 +27,161 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .bpe import default_path, distinct_chunks, simple
+from .bpe import TextIds, default_path
 from .common import documents, passes
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a Python worker keeps; beyond, it begins anew.
-KEPT_WORDS = 300_000
-RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-
+OPEN_EACH, OPEN_LEAST, OPEN_MOST = 16, 4, 256
+RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, how string"
 
-class WordTokens:
-    """The library's ids of pieces between white space; it drops white space, so they are a text's ids in order.
 
-    A piece of letters and punctuation is at most two words; the library's model encodes each new word once.
-    """
+class WordTokens(TextIds):
+    """The library's ids of texts. It drops white space, so pieces between it are encoded apart; its model encodes each new word once."""
 
     def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = Tokenizer(self.tokenizer.model)
-        self.kept: dict[str, bytes] = {}
+        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
 
-    def encode(self, tokenizer, texts: list[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
         out = {}
-        for a in range(0, len(texts), 20_000):
-            for t, e in zip(texts[a : a + 20_000], tokenizer.encode_batch_fast(texts[a : a + 20_000], add_special_tokens=False)):
-                out[t] = array("I", e.ids).tobytes()
+        for a in range(0, len(words), 40_000):
+            parts = [words[i : i + 2000] for i in range(a, min(a + 40_000, len(words)), 2000)]
+            for part, e in zip(parts, self.model.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)):
+                ids, ends = array("I", e.ids).tobytes(), np.flatnonzero(np.diff(e.word_ids, append=-1)) * 4 + 4
+                ends = ends.tolist()
+                out.update(zip(part, [ids[x:y] for x, y in zip([0, *ends], ends)]))
         return out
 
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of distinct pieces."""
-        cut = [simple(c) for c in chunks]
-        other = self.encode(self.tokenizer, [c for c, x in zip(chunks, cut) if x is None])
-        words = {w for x in cut if x for w in x}
-        kept = self.kept
-        new = [w for w in words if w not in kept]
-        if len(kept) + len(new) > KEPT_WORDS:
-            kept.clear()
-            new = list(words)
-        kept |= self.encode(self.model, new)
-        out = [other[c] if x is None else kept[x[0]] if len(x) == 1 else kept[x[0]] + kept[x[1]] if x else b"" for c, x in zip(chunks, cut)]
-        for w in new:
-            if len(w) > 200:
-                del kept[w]
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(pieces), 20_000):
+            out += [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces[a : a + 20_000], add_special_tokens=False)]
         return out
 
-    def __call__(self, texts: pa.Array, end: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """All texts' ids (each with the end id after it), and the n + 1 offsets of the texts there."""
-        chunks, which, at = distinct_chunks(texts)
-        coded = self.chunks(chunks)
-        ids = np.frombuffer(b"".join(coded), "<u4")
-        size = np.array([len(x) // 4 for x in coded], np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)])[:-1]
-        each = size[which]
-        done = np.concatenate([[0], np.cumsum(each)])
-        out = ids[np.repeat(begin[which] - done[:-1], each) + np.arange(done[-1])]
-        offsets = done[at]
-        if end is not None:
-            n = len(offsets) - 1
-            spaced = np.full(len(out) + n, end, "<u4")
-            spaced[np.arange(len(out)) + np.repeat(np.arange(n), np.diff(offsets))] = out
-            out, offsets = spaced, offsets + np.arange(n + 1)
-        return out, offsets
-
 
 class SumOfSquares:
-    """The level array: how many windows are filled to each level, and which."""
+    """The level array: how many open windows are filled to each level, and which."""
 
     def __init__(self, window: int = WINDOW):
         self.window = window
         self.count = np.zeros(window + 1, np.int64)
-        self.at: list[list[int]] = [[] for _ in range(window + 1)]
-        self.opened = 0
-
-    def place(self, size: int) -> tuple[int, int]:
-        """Window and offset for an item of 1 to window - 1 tokens; the window's level rises by size."""
+        self.at: list[list[int]] = [[] for _ in range(window)]
+        self.numbers = self.open = self.placed = 0
+
+    def number(self) -> int:
+        self.numbers += 1
+        return self.numbers - 1
+
+    def _leave(self, level: int) -> int:
+        self.count[level] -= 1
+        self.open -= 1
+        return self.at[level].pop()
+
+    def _enter(self, level: int, number: int) -> None:
+        if level < self.window:
+            self.count[level] += 1
+            self.open += 1
+            self.at[level].append(number)
+
+    def place(self, size: int) -> list[tuple[int, int]]:
+        """(window, tokens) for an item of 1 to window - 1 tokens: one part, or two if it is cut."""
         c, w = self.count, self.window
+        self.placed += 1
         # growth of the sum of squares when a window goes from level h to h + size; a full window counts for nothing
-        growth = 2 * (c[size:w] - c[: w - size]) + 2
-        growth[0] = 2 * c[size] + 1
-        growth[1:][c[1 : w - size] == 0] = 1 << 60
-        best = len(growth) - 1 - int(np.argmin(growth[::-1]))
-        if c[w - size] and -2 * c[w - size] + 1 <= growth[best]:
-            best = w - size
-        if best:
-            window = self.at[best].pop()
-            c[best] -= 1
-        else:
-            window = self.opened
-            self.opened += 1
-        if best + size < w:
-            self.at[best + size].append(window)
-            c[best + size] += 1
-        return window, best
+        growth = 2 * (c[size:] - c[: w - size + 1]) + 2
+        growth[-1] -= 1
+        growth[c[: w - size + 1] == 0] = 1 << 60
+        if self.open < min(max(self.placed // OPEN_EACH, OPEN_LEAST), OPEN_MOST):
+            growth[0] = 2 * c[size] + 1
+        best = w - size - int(np.argmin(growth[::-1]))
+        if growth[best] < 1 << 60:
+            number = self._leave(best) if best else self.number()
+            self._enter(best + size, number)
+            return [(number, size)]
+        # windows at levels over w - size are filled up, and the rest begins one
+        growth = c[1:size] - c[w - size + 1 : w]
+        growth[c[w - size + 1 : w] == 0] = 1 << 60
+        over = size - 1 - int(np.argmin(growth[::-1]))
+        number = self._leave(w - size + over)
+        other = self.number()
+        self._enter(over, other)
+        return [(number, size - over), (other, over)]
 
 
 def pack(items: Iterator[tuple[object, np.ndarray]], window: int = WINDOW) -> Iterator[tuple]:
-    """Pieces (doc, start, length, crc32, doc_tokens, sequence, offset) of (doc, ids) items; every id lies in one piece."""
+    """Pieces (doc, start, length, crc32, doc_tokens, sequence, offset, how) of (doc, ids) items; every id lies in one piece."""
     levels = SumOfSquares(window)
-    held: dict[int, list[tuple]] = {}
+    held: dict[int, list[tuple]] = {}  # open windows: (doc, start, ids, doc_tokens, how)
 
-    def full() -> int:
-        levels.opened += 1
-        return levels.opened - 1
+    def out(number: int, pieces: list[tuple]) -> Iterator[tuple]:
+        offset = 0
+        for doc, start, ids, total, how in pieces:
+            yield doc, start, len(ids), zlib.crc32(ids.tobytes()), total, number, offset, how
+            offset += len(ids)
 
     for doc, ids in items:
         total = len(ids)
-        cut = total - total % window
-        for a in range(0, cut, window):
-            yield doc, a, window, zlib.crc32(ids[a : a + window].tobytes()), total, full(), 0
-        rest = ids[cut:].copy()
+        at = total - total % window
+        for a in range(0, at, window):
+            yield from out(levels.number(), [(doc, a, ids[a : a + window], total, "full")])
+        rest = ids[at:].copy()
         if not len(rest):
             continue
-        w, offset = levels.place(len(rest))
-        held.setdefault(w, []).append((doc, cut, rest, total))
-        if offset + len(rest) == window:
-            offset = 0
-            for d, start, part, n in held.pop(w):
-                yield d, start, len(part), zlib.crc32(part.tobytes()), n, w, offset
-                offset += len(part)
-    left = [p for w in sorted(held) for p in held[w]]
-    total = sum(len(p[2]) for p in left)
-    numbers = iter([*sorted(held), *range(levels.opened, levels.opened + 64)])
-    room = used = 0
-    for d, start, part, n in left:
-        while len(part):
-            if used == room:
-                number, used = next(numbers), 0
-                room = window if total >= window else 1 << (total.bit_length() - 1)
-                total -= room
-            take = part[: room - used]
-            yield d, start, len(take), zlib.crc32(take.tobytes()), n, number, used
-            used += len(take)
-            start += len(take)
-            part = part[len(take) :]
-
-
-_tokens: dict[str, WordTokens] = {}
+        for number, n in levels.place(len(rest)):
+            part, rest = rest[:n], rest[n:]
+            mine = held.setdefault(number, [])
+            mine.append((doc, at, part, total, "level"))
+            at += n
+            if sum(len(p[2]) for p in mine) == window:
+                yield from out(number, held.pop(number))
+    # the fullest windows take from the emptiest what they lack
+    fills = {number: sum(len(p[2]) for p in pieces) for number, pieces in held.items()}
+    order = sorted(held, key=lambda number: (-fills[number], number))
+    while len(order) > 1:
+        number = order.pop(0)
+        room = window - fills[number]
+        while room and order:
+            giver = order[-1]
+            doc, start, ids, total, _ = held[giver].pop()
+            taken = ids[:room]
+            held[number].append((doc, start, taken, total, "closed"))
+            if len(taken) < len(ids):
+                held[giver].append((doc, start + len(taken), ids[len(taken) :], total, "closed"))
+            room -= len(taken)
+            fills[giver] -= len(taken)
+            if not fills[giver]:
+                order.pop()
+        if not room:
+            yield from out(number, held[number])
+        else:
+            fills[number] = window - room
+            order.append(number)
+            break
+    for number in order:
+        pieces, left = held[number], fills[number]
+        while left:
+            size = 1 << (left.bit_length() - 1)
+            left -= size
+            mine = []
+            while size:
+                doc, start, ids, total, how = pieces.pop(0)
+                if len(ids) > size:
+                    pieces.insert(0, (doc, start + size, ids[size:], total, "closed"))
+                    ids, how = ids[:size], "closed"
+                mine.append((doc, start, ids, total, how))
+                size -= len(ids)
+            yield from out(number, mine)
+            number = levels.number()
 
 
 def pack_documents(df: DataFrame, path: str | None = None, window: int = WINDOW, key: str = "doc_id", text: str = "text", end: int = END_ID) -> DataFrame:
@@ -173,12 +189,10 @@ def pack_documents(df: DataFrame, path: str | None = None, window: int = WINDOW,
     if window & (window - 1):
         raise ValueError("the window must be a power of two")
     path = path or default_path()
-    names = [x.split()[0] for x in RESULT.split(", ")]
+    schema = pa.schema([(x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in RESULT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _tokens:
-            _tokens[path] = WordTokens(path)
-        tokens = _tokens[path]
+        tokens = WordTokens(path)
         base = TaskContext.get().partitionId() << 32
 
         def items() -> Iterator[tuple[object, np.ndarray]]:
@@ -188,12 +202,12 @@ def pack_documents(df: DataFrame, path: str | None = None, window: int = WINDOW,
 
         rows: list[tuple] = []
         for p in pack(items(), window):
-            rows.append((*p[:5], base + p[5], p[6]))
+            rows.append((*p[:5], base + p[5], *p[6:]))
             if len(rows) == 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     return df.select(key, text).mapInArrow(run, RESULT)
 

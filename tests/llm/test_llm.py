@@ -99,14 +99,13 @@ def test_bpe_is_the_librarys():
     library, coder = Tokenizer.from_file(bpe.default_path()), bpe.encoder(bpe.default_path())
     rng = random.Random(2)
     texts = [t for _, t in ODD if t] + ["it's WE'LL 'RE", "İSTANBUL ΣΑΣ ſ K"] + ["".join(rng.choice("abcdeéßñ日'!?.<>/ 0") for _ in range(rng.randint(1, 60))) for _ in range(500)]
-    words = packing.WordTokens(bpe.default_path())
-    flat, at = words(pa.array(texts), None)
-    for i, t in enumerate(texts):
-        chunks, which, _ = bpe.distinct_chunks(pa.array([t]))
-        coded = coder.chunks(chunks)
-        want = library.encode(t, add_special_tokens=False).ids
-        assert [x for k in which for x in coded[k][0]] == want == flat[at[i] : at[i + 1]].tolist()
-        assert bpe.decode_ids(want) == library.decode(want, skip_special_tokens=False)
+    for one in (coder, packing.WordTokens(bpe.default_path())):
+        for some in (texts, texts[::-1]):  # words known from before too
+            ids, at = one(pa.array(some))
+            for i, t in enumerate(some):
+                want = library.encode(t, add_special_tokens=False).ids
+                assert ids[at[i] : at[i + 1]].tolist() == want
+                assert bpe.decode_ids(want) == library.decode(want, skip_special_tokens=False)
 
 
 def test_packing_covers_every_id_once():
@@ -117,7 +116,7 @@ def test_packing_covers_every_id_once():
     for doc, ids in items:
         mine = sorted(r for r in rows if r[0] == doc)
         at = 0
-        for _, start, length, crc, n, _, _ in mine:
+        for _, start, length, crc, n, _, _, _ in mine:
             assert start == at and n == len(ids) and crc == zlib.crc32(ids[start : start + length].tobytes())
             at += length
         assert at == len(ids)
@@ -196,7 +195,7 @@ def test_line_dedup_whole_runs(spark):
     rows += [(10 + i, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 9)))) for i in range(60)]
     rows += [(100 + 10 * i + k, t) for i, t in enumerate(SHORT_ENDS) for k in range(2)]
     docs = table(spark, rows).repartition(3)
-    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs, whole=True).collect()}
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs).collect()}
     assert got[2] == got[4] == "" and got == maximal(rows)
     assert 2 not in {r["doc_id"] for r in corpus_pipeline.line_stage(spark, docs, SF).collect()}
 
