@@ -5,10 +5,6 @@ Records have the columns of sources.images.records; other tables hang on record_
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,23 +13,14 @@ from pyspark.sql.window import Window
 from ..functions import kernels
 from ..functions.columns import clip01, evidence, hamming, median3, output_stem, resolution_score
 from ..operators.bursts import assign_bursts, burst_names
-from ..operators.independent import greedy_keep
+from ..operators.independent import greedy_keep, kept_table
 from ..operators.pairs import cosine_pairs, hamming_pairs, near_chosen, nearest
 from ..operators.ranks import robust_rank
-from ..operators.selection import select_greedy
+from ..operators.selection import coverage_scores, rule_of, select_greedy
 
 CROP_EXEMPT, BLUR_SPEC = "cropped_extremities", "semantic_blur"
 
 
-def kept_table(df: DataFrame, name: str) -> DataFrame:
-    """df written to the folder that driver and executors share, and read back."""
-    spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "quarry-shared")
-    path = f"{top.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def with_bursts(records: DataFrame, cfg: dict) -> DataFrame:
     """records with burst_id, '' outside of bursts."""
     b = cfg["burst"]
@@ -112,7 +99,7 @@ def with_quality(eligible: DataFrame, cfg: dict) -> DataFrame:
     b = cfg["audit"]["brisque"]
     parts = [(0.55, 1 - F.col("focus_risk")), (0.20, F.col("exposure")), (0.10, resolution_score(F.col("min_side"), cfg["audit"]["min_side"]))]
     df = eligible
-    if b["enabled"] and "brisque" in df.columns and len(df.where("brisque IS NOT NULL AND NOT isnan(brisque)").limit(2).collect()) == 2:
+    if b["enabled"] and "brisque" in df.columns and len(df.where(F.abs("brisque") < float("inf")).limit(2).collect()) == 2:
         df = robust_rank(df, "brisque", "_brisque", higher=False, of=eligible)
         parts.append((b["weight"], F.col("_brisque")))
     total = sum(w * c for w, c in parts) / sum(w for w, _ in parts)
@@ -145,21 +132,49 @@ def coverage_targets(pool: DataFrame, scores: DataFrame, specs: DataFrame, cfg:
     return c.select("spec", "ord", "grp", "weight", prevalence.alias("prevalence"), F.least(goal, have * cfg["semantic"]["availability_capture"]).alias("target"))
 
 
-def select(pool: DataFrame, scores: DataFrame, specs: DataFrame, picks: int, cfg: dict) -> tuple[DataFrame, DataFrame]:
-    """((record_id, pick), targets). pool: record_id, quality, penalty, vector, burst_id, focus_risk, perhaps similar and uses."""
-    targets = coverage_targets(pool, scores, specs, cfg)
-    rows = targets.orderBy("ord").collect()  # one per category
+def selection_weights(cfg: dict) -> dict:
     s, focus = cfg["selection"], cfg["audit"]["focus"]
-    p = {
+    return {
         "quality": s["quality_weight"], "coverage": s["coverage_weight"], "novelty": s["novelty_weight"], "top_groups": s["coverage_top_groups"],
         "novelty_start": s["novelty_similarity_start"], "redundancy_start": s["redundancy_similarity_start"], "redundancy": s["redundancy_penalty"], "repeat": cfg["burst"]["repeat_penalty"],
         "soft_focus": s["soft_focus_penalty"], "soft_start": focus["soft_risk_start"], "fail_risk": focus["fail_risk"],
     }
-    order = F.broadcast(specs.where("block = 'category'").select(F.col("name").alias("spec"), "ord"))
+
+
+def with_evidence(pool: DataFrame, scores: DataFrame, specs: DataFrame, cfg: dict) -> DataFrame:
+    """pool with evidence, an array of one number per category in their order."""
+    categories = specs.where("block = 'category'")
+    order = F.broadcast(categories.select(F.col("name").alias("spec"), "ord"))
     by = scores.join(order, "spec").groupBy("record_id").agg(F.map_from_entries(F.collect_list(F.struct("ord", _evidence(cfg).alias("e")))).alias("_m"))
-    full = F.array(*[F.coalesce(F.col("_m")[r["ord"]], F.lit(0.0)) for r in rows])
-    pool = pool.join(by, "record_id", "left").withColumn("evidence", full).withColumnRenamed("burst_id", "burst").drop("_m")
-    return select_greedy(pool, [r["grp"] for r in rows], [r["weight"] for r in rows], [r["target"] for r in rows], picks, p), targets
+    full = F.array(*[F.coalesce(F.col("_m")[r["ord"]], F.lit(0.0)) for r in categories.select("ord").orderBy("ord").collect()])
+    return pool.join(by, "record_id", "left").withColumn("evidence", full).drop("_m")
+
+
+def select(pool: DataFrame, scores: DataFrame, specs: DataFrame, picks: int, cfg: dict) -> tuple[DataFrame, DataFrame]:
+    """((record_id, pick), targets). pool: record_id, quality, penalty, vector, burst_id, focus_risk, perhaps similar and uses."""
+    targets = coverage_targets(pool, scores, specs, cfg)
+    rows = targets.orderBy("ord").collect()  # one per category
+    pool = with_evidence(pool, scores, specs, cfg).withColumnRenamed("burst_id", "burst")
+    return select_greedy(pool, [r["grp"] for r in rows], [r["weight"] for r in rows], [r["target"] for r in rows], picks, selection_weights(cfg)), targets
+
+
+def coverage_of(pool: DataFrame, scores: DataFrame, specs: DataFrame, cfg: dict) -> DataFrame:
+    """(record_id, coverage): what coverage adds to each row's score before any pick."""
+    rows = coverage_targets(pool, scores, specs, cfg).orderBy("ord").collect()
+    rule = rule_of([r["grp"] for r in rows], [r["weight"] for r in rows], [r["target"] for r in rows], selection_weights(cfg))
+    return coverage_scores(with_evidence(pool, scores, specs, cfg), rule)
+
+
+def stage_counts(gated: DataFrame) -> DataFrame:
+    """One row: gated records, those lost to each reason, and those that are eligible."""
+    r = F.col("reject_reason")
+    return gated.agg(F.count("*").alias("records"), F.count_if(r == "focus").alias("focus"), F.count_if(r == "semantic_hard").alias("semantic_hard"), F.count_if(r == "").alias("eligible"))
+
+
+def worst_risk(gated: DataFrame, train: DataFrame, validate: DataFrame) -> DataFrame:
+    """(split, picks, worst): the largest focus risk of each split's picks."""
+    chosen = train.select("record_id", F.lit("train").alias("split")).union(validate.select("record_id", F.lit("validate").alias("split")))
+    return gated.join(chosen, "record_id").groupBy("split").agg(F.count("*").alias("picks"), F.max("focus_risk").alias("worst"))
 
 
 def validation_pool(eligible: DataFrame, train: DataFrame, vectors: DataFrame, cfg: dict) -> DataFrame:

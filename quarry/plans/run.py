@@ -91,7 +91,7 @@ def run(spark: SparkSession, source: str, output: str, cfg: dict, models: Inputs
     debug = curate.debug_table(full, own, scores, order, penalties, vectors, train, validate)
     outputs.write_table(debug, f"{output.rstrip('/')}/debug.csv")
     return {
-        "records": full, "train": train, "validate": validate, "debug": debug, "gated": gated,
+        "records": full, "train": train, "validate": validate, "debug": debug, "gated": gated, "worst_risk": curate.worst_risk(gated, train, validate),
         "train_coverage": curate.coverage_report(train, scores, train_targets, cfg), "validate_coverage": curate.coverage_report(validate, scores, validate_targets, cfg),
     }
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import kernels
 from . import capture
 
-#: File name endings of images. The JVM has no reader for webp and avif; those become `decode:` rejects.
+#: File name endings of images.
 SUFFIXES = ("jpg", "jpeg", "png", "webp", "bmp", "tif", "tiff", "avif")
+#: Those that the JVM has no reader for; a decoder in Python reads them, see `pixels`.
+OTHER_SUFFIXES = ("webp", "avif")
 #: Readers name local files with one slash or three.
 TRIPLE = "^([a-z0-9]+):///"
 
@@ -23,8 +26,8 @@ SIGNALS = "laplacian double, exposure double, blur_global double, blur_center do
 TAGS = "orientation int, original string, original_fraction string, digitized string, digitized_fraction string, modified string"
 
 
-def _wanted(df: DataFrame, path: str, output: str | None) -> DataFrame:
-    df = df.where(F.lower(F.regexp_extract(path, r"[^/]\.([^./]*)$", 1)).isin(*SUFFIXES))
+def _wanted(df: DataFrame, path: str, output: str | None, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    df = df.where(F.lower(F.regexp_extract(path, r"[^/]\.([^./]*)$", 1)).isin(*suffixes))
     if output:
         end = re.sub("^file:/+", "/", output).rstrip("/")
         bare = F.regexp_replace(path, "^file:/+", "/")
@@ -57,21 +60,59 @@ def headers(files: DataFrame) -> DataFrame:
     return files.select("path", "modificationTime", "content").mapInPandas(run, f"path string, modificationTime timestamp, {TAGS}")
 
 
-def pixels(spark: SparkSession, root: str, output: str | None = None) -> DataFrame:
-    """(path, height, width, channels, data) of the same files, decoded by the JVM; an unreadable one has height -1."""
+def library_decoder() -> Callable[[bytes], np.ndarray] | None:
+    """A decoder to RGB by an imaging library, if the workers have one."""
+    try:
+        from PIL import Image
+    except ImportError:
+        return None
+
+    def decode(content: bytes) -> np.ndarray:
+        with Image.open(io.BytesIO(content)) as im:
+            over = im.convert("RGBA")
+            white = Image.new("RGBA", over.size, (255, 255, 255, 255))
+            white.alpha_composite(over)
+            return np.asarray(white.convert("RGB"))
+
+    return decode
+
+
+def pixels(spark: SparkSession, root: str, output: str | None = None, decoder: Callable[[], Callable[[bytes], np.ndarray] | None] = library_decoder) -> DataFrame:
+    """(path, height, width, channels, data) of the same files; an unreadable one has height -1.
+
+    The JVM decodes; files of OTHER_SUFFIXES go to the function that `decoder` makes in the task (bytes to RGB as stored),
+    and are unreadable where it makes none.
+    """
     read = spark.read.format("image").option("recursiveFileLookup", True).load(root)
     i = F.col("image")
     rows = read.select(i["origin"].alias("path"), i["height"].alias("height"), i["width"].alias("width"), i["nChannels"].alias("channels"), i["data"].alias("data"))
-    return _wanted(rows, "path", output)
+    mine = tuple(x for x in SUFFIXES if x not in OTHER_SUFFIXES)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decode = decoder()
+        for pdf in frames:
+            out = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    rgb = decode(bytes(content)) if decode else None
+                except Exception:  # one broken file is a reject, as any unreadable one
+                    rgb = None
+                out.append((path, -1, -1, -1, b"") if rgb is None else (path, *rgb.shape[:2], 3, np.ascontiguousarray(rgb[:, :, ::-1]).tobytes()))
+            yield pd.DataFrame(out, columns=["path", "height", "width", "channels", "data"])
+
+    other = _wanted(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root), "path", output, OTHER_SUFFIXES)
+    other = other.select("path", "content").mapInPandas(run, "path string, height int, width int, channels int, data binary")
+    return _wanted(rows, "path", output, mine).unionByName(other)
 
 
 def audited(rows: DataFrame, least: int, aspect: float) -> DataFrame:
-    """rows (any columns, height, width, channels, data, and perhaps box) with sizes, reject_reason, signals and small views.
+    """rows (any columns, height, width, channels, data, and perhaps box and turn) with sizes, reject_reason, signals and small views.
 
-    A row that the gates reject, or whose kernel fails, gets a reason and null signals; no row fails the job. Signals are
-    taken of the image as stored: turning it by quarters or mirroring it leaves them, but for rounding.
+    A row that the gates reject, or whose kernel fails, gets a reason and null signals; no row fails the job. A box is one of
+    the upright image, and turn the stored image's orientation: the part is cut out and turned before it is measured.
+    Without a box signals are taken of the image as stored: turning it by quarters or mirroring it leaves them, but for rounding.
     """
-    keep = [c for c in rows.columns if c not in ("height", "width", "channels", "data", "box")]
+    keep = [c for c in rows.columns if c not in ("height", "width", "channels", "data", "box", "turn")]
     kinds = dict(rows.dtypes)
     out = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["width int, height int, reject_reason string", SIGNALS, VIEW])
     with_box = "box" in rows.columns
@@ -83,8 +124,7 @@ def audited(rows: DataFrame, least: int, aspect: float) -> DataFrame:
                 return (0, 0, "decode:Unreadable", *none)
             rgb = kernels.to_rgb(r["data"], r["height"], r["width"], r["channels"])
             if with_box and r["box"] is not None:
-                b = r["box"]
-                rgb = rgb[b["y1"] : b["y2"], b["x1"] : b["x2"]]
+                rgb = kernels.crop(rgb, tuple(r["box"][c] for c in ("x1", "y1", "x2", "y2")), r.get("turn"))
             h, w = rgb.shape[:2]
             if min(h, w) < least:
                 return (w, h, "small", *none)
@@ -106,7 +146,7 @@ def audited(rows: DataFrame, least: int, aspect: float) -> DataFrame:
 
 
 def upright(rows: DataFrame) -> DataFrame:
-    """Views, sizes and hash of audited rows turned by `orientation`; (hash_view, orientation) give way to phash."""
+    """Views, sizes and hash of audited rows turned by `orientation`; hash_view gives way to phash."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -120,11 +160,11 @@ def upright(rows: DataFrame) -> DataFrame:
                 codes.append(kernels.perceptual_hash(kernels.orient(np.frombuffer(view, np.uint8).reshape(side, side), turn)))
                 side = kernels.THUMB_SIDE
                 thumbs.append(np.ascontiguousarray(kernels.orient(np.frombuffer(small, np.uint8).reshape(side, side, 3), turn)).tobytes())
-            out = pdf.drop(columns=["hash_view", "orientation", "thumb"])
+            out = pdf.drop(columns=["hash_view", "thumb"])
             out["phash"], out["thumb"] = pd.array(codes, dtype="Int64"), thumbs
             yield out
 
-    rest = [f"`{c}` {t}" for c, t in rows.dtypes if c not in ("hash_view", "orientation", "thumb")]
+    rest = [f"`{c}` {t}" for c, t in rows.dtypes if c not in ("hash_view", "thumb")]
     turned = rows.withColumns({"width": F.when(F.col("orientation") >= 5, F.col("height")).otherwise(F.col("width")), "height": F.when(F.col("orientation") >= 5, F.col("width")).otherwise(F.col("height"))})
     return turned.mapInPandas(run, ", ".join([*rest, "phash long, thumb binary"]))
 
@@ -148,30 +188,37 @@ def records(spark: SparkSession, root: str, output: str | None, cfg: dict) -> Da
         "path", F.col("path").alias("record_id"), F.col("path").alias("source_id"), F.lit("original").alias("kind"), F.lit(None).cast("struct<x1:int,y1:int,x2:int,y2:int>").alias("crop_box"),
         F.lit(0).alias("view_index"), F.lit(None).cast("double").alias("detector_confidence"), F.lit(0).alias("detected_width"), F.lit(0).alias("detected_height"),
         "width", "height", F.least("width", "height").alias("min_side"), (F.greatest("width", "height") / F.greatest(F.lit(1), F.least("width", "height"))).alias("aspect_ratio"),
-        "capture_us", "capture_source", "reject_reason", "phash", "laplacian", "exposure", "blur_global", "blur_center", "blur_local", "thumb",
+        "capture_us", "capture_source", "reject_reason", "phash", "laplacian", "exposure", "blur_global", "blur_center", "blur_local", "thumb", "orientation",
     )
 
 
 def crop_records(spark: SparkSession, root: str, parents: DataFrame, crops: DataFrame, cfg: dict) -> DataFrame:
     """Audited child records of crops (path, kind, view_index, crop_box, confidence, w, h); those that the audit rejects are left out.
 
-    Boxes are in the stored image's coordinates. Only the crops' files are decoded: the crops are joined to the pixels by
-    path, and a broadcast of them is left to the planner, which knows their size.
+    Boxes are in the upright image's coordinates, and views and signals are taken of the upright part. The crops are joined
+    to the pixels by path, and a broadcast of them is left to the planner, which knows their size.
     """
     audit = cfg["audit"]
     same = F.regexp_replace("path", TRIPLE, "$1:/")
     wanted = crops.select("path", "kind", "view_index", F.col("crop_box").alias("box"), "confidence", "w", "h")
+    wanted = wanted.join(parents.select("path", F.col("orientation").alias("turn")), "path")
     joined = pixels(spark, root).withColumn("path", same).join(wanted, "path").withColumn("crop_box", F.col("box"))
     good = audited(joined, audit["min_side"], audit["max_aspect"]).where("reject_reason = ''")
-    of = parents.select("path", "source_id", "capture_us", "capture_source")
-    rows = upright(good.join(of, "path").withColumn("orientation", F.lit(1)))
+    of = parents.select("path", "source_id", "capture_us", "capture_source", F.col("orientation").alias("turn"))
+    # the parts are upright; `orientation` is then again that of their file
+    rows = upright(good.withColumn("orientation", F.lit(1)).join(of, "path"))
+    return crop_columns(rows.withColumn("orientation", F.col("turn")))
+
+
+def crop_columns(rows: DataFrame) -> DataFrame:
+    """Records of audited crops: what they have of their own, and their parents' source and capture time."""
     b = F.col("crop_box")
     ident = F.concat(F.col("source_id"), F.lit("::"), F.col("kind"), F.lit(":"), F.col("view_index").cast("string"), F.lit(":"), F.concat_ws(",", b["x1"], b["y1"], b["x2"], b["y2"]))
     return rows.select(
         "path", ident.alias("record_id"), "source_id", "kind", "crop_box", "view_index", F.col("confidence").alias("detector_confidence"),
         F.col("w").cast("int").alias("detected_width"), F.col("h").cast("int").alias("detected_height"), "width", "height", F.least("width", "height").alias("min_side"),
         (F.greatest("width", "height") / F.greatest(F.lit(1), F.least("width", "height"))).alias("aspect_ratio"), "capture_us", "capture_source", "reject_reason",
-        "phash", "laplacian", "exposure", "blur_global", "blur_center", "blur_local", "thumb",
+        "phash", "laplacian", "exposure", "blur_global", "blur_center", "blur_local", "thumb", "orientation",
     )
 
 

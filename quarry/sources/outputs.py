@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,6 +19,10 @@ from ..functions import kernels
 from . import images
 
 
+#: Files that a task copies.
+FILES_EACH = 64
+
+
 def png(rgb: np.ndarray) -> bytes:
     """An RGB image as an 8-bit PNG."""
     h, w = rgb.shape[:2]
@@ -51,15 +56,17 @@ def _put(uri: str, data: bytes) -> None:
 
 
 def materialise(spark: SparkSession, root: str, chosen: DataFrame, folder: str, mode: str) -> int:
-    """Write what manifest() names to folder, which is emptied first; the number of files. mode: copy, hardlink or symlink.
+    """Write what manifest() names to a new folder, which then takes the place of folder; the number of files. mode: copy, hardlink or symlink.
 
     Originals are copied or linked as they are, crops are written as PNG. A task that runs twice writes the same files.
+    What was in folder stays until all is written. One task for FILES_EACH originals.
     """
-    system, path = _filesystem(folder)
     from pyarrow import fs
 
-    if system.get_file_info(path).type != fs.FileType.NotFound:
-        system.delete_dir(path)
+    folder = folder.rstrip("/")
+    system, path = _filesystem(folder)
+    final, folder = path, f"{folder}.{uuid.uuid4().hex}"
+    system, path = _filesystem(folder)
     system.create_dir(path)
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,17 +88,23 @@ def materialise(spark: SparkSession, root: str, chosen: DataFrame, folder: str,
         for pdf in frames:
             for r in pdf.to_dict("records"):
                 b = r["crop_box"]
-                rgb = kernels.to_rgb(r["data"], r["height"], r["width"], r["channels"])[b["y1"] : b["y2"], b["x1"] : b["x2"]]
+                rgb = kernels.to_rgb(r["data"], r["height"], r["width"], r["channels"])
+                rgb = kernels.crop(rgb, (b["x1"], b["y1"], b["x2"], b["y2"]), r["orientation"])
                 _put(f"{folder}/{r['final_name']}", png(rgb))
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    rows = chosen.select("path", "crop_box", "final_name")
-    done = rows.where("crop_box IS NULL").repartition(8).mapInPandas(link, "n long")
+    rows = chosen.select("path", "crop_box", "final_name", F.col("orientation") if "orientation" in chosen.columns else F.lit(1).alias("orientation"))
+    whole = rows.where("crop_box IS NULL")
+    done = whole.repartition(1 + whole.count() // FILES_EACH).mapInPandas(link, "n long")
     crops = rows.where("crop_box IS NOT NULL")
     if not crops.isEmpty():
         seen = images.pixels(spark, root).withColumn("path", F.regexp_replace("path", images.TRIPLE, "$1:/"))
         done = done.union(seen.join(crops, "path").mapInPandas(cut, "n long"))
-    return done.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n = done.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if system.get_file_info(final).type != fs.FileType.NotFound:
+        system.delete_dir(final)
+    system.move(path, final)
+    return n
 
 
 def write_table(rows: DataFrame, path: str) -> None:

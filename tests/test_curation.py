@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from quarry.operators import pairs, ranks
+from quarry.operators.bursts import assign_bursts
 from quarry.operators.independent import greedy_keep
 from quarry.operators.pairs import hamming_pairs
 from quarry.operators.ranks import robust_rank
@@ -37,13 +39,34 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_rank_cases(spark):
-    df = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, 5.0), (4, None), (5, float("nan"))], "i int, v double")
+    df = spark.createDataFrame([(1, 2.0), (2, 2.0), (3, 5.0), (4, None), (5, float("nan")), (6, float("inf")), (7, -float("inf"))], "i int, v double")
     got = {r["i"]: r["r"] for r in robust_rank(df, "v", "r").collect()}
-    assert got == {1: 0.25, 2: 0.25, 3: 1.0, 4: 0.5, 5: 0.5}
+    assert got == {1: 0.25, 2: 0.25, 3: 1.0, 4: 0.5, 5: 0.5, 6: 0.5, 7: 0.5}
     same = spark.createDataFrame([(1, 2.0), (2, 2.0)], "i int, v double")
     assert {r["r"] for r in robust_rank(same, "v", "r").collect()} == {0.5}
 
 
+def test_ranks_of_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "RANGE_VALUES", 7)
+    values = [random.Random(9).randrange(60) for _ in range(300)]
+    got = {r["i"]: r["r"] for r in robust_rank(spark.createDataFrame(list(enumerate(map(float, values))), "i int, v double"), "v", "r").collect()}
+    at = sorted(values)
+    assert all(abs(got[i] - (at.index(v) + (at.count(v) - 1) / 2) / 299) < 1e-12 for i, v in enumerate(values))
+
+
+def test_long_chain_of_bursts(spark):
+    times = sorted(random.Random(3).choices(range(4000), k=3000))
+    df = spark.createDataFrame([("d", t, f"{i:05d}") for i, t in enumerate(times)], "dir string, t long, id string").repartition(5)
+    got = {r["id"]: (r["burst_start"], r["burst_size"]) for r in assign_bursts(df, ["dir"], "t", "id", 3, 50).collect()}
+    starts, last, start = [], None, None
+    for t in times:
+        if last is None or t - last > 3 or t - start > 50:
+            start = t
+        last = t
+        starts.append(start)
+    assert got == {f"{i:05d}": (s, starts.count(s)) for i, s in enumerate(starts) if starts.count(s) > 1}
+
+
 def test_greedy_keep_is_sequential(spark):
     rng = random.Random(4)
     edges = {tuple(sorted(rng.sample(range(40), 2))) for _ in range(60)}
@@ -56,13 +79,41 @@ def test_greedy_keep_is_sequential(spark):
     assert sorted(r["id"] for r in got.where("keep").collect()) == kept
 
 
-def test_hamming_pairs_are_exact(spark):
+def test_hamming_pairs_are_exact(spark, monkeypatch):
     rng = random.Random(5)
     codes = [rng.getrandbits(63) for _ in range(40)]
     codes += [c ^ (1 << rng.randrange(63)) ^ (1 << rng.randrange(63)) for c in codes]
     want = {(i, j, (codes[i] ^ codes[j]).bit_count()) for i in range(80) for j in range(i + 1, 80) if (codes[i] ^ codes[j]).bit_count() <= 8}
-    got = hamming_pairs(spark.createDataFrame(list(enumerate(codes)), "i long, c long"), "i", "c", 8)
-    assert {tuple(r) for r in got.collect()} == want
+    df = spark.createDataFrame(list(enumerate(codes)), "i long, c long")
+    assert sorted(tuple(r) for r in hamming_pairs(df, "i", "c", 8).collect()) == sorted(want)
+    monkeypatch.setattr(pairs, "bands", lambda radius, rows: (3, 2))
+    assert sorted(tuple(r) for r in hamming_pairs(df, "i", "c", 8).collect()) == sorted(want)
+
+
+def test_pair_joins_grow_with_the_rows():
+    """Keys and chance meetings a row, of the bands chosen, at the reference's radius."""
+    from math import comb
+
+    def each(rows):
+        m, flips = pairs.bands(8, rows)
+        keys = m * sum(comb(pairs.BITS // m + 1, i) for i in range(flips + 1))
+        return keys + rows * keys / 2.0 ** (pairs.BITS // m)
+
+    assert each(10**6) < 6 * each(10**4) and pairs.bands(8, 10**4) != pairs.bands(8, 10**6)
+
+
+def test_cells_without_near_pairs_hold_their_own_rows(spark):
+    """Rows around far apart centres visit no other cell, so rows that meet are within one centre."""
+    import numpy as np
+
+    rng, rows = np.random.default_rng(1), []
+    for i in range(400):
+        v = np.eye(8)[i % 8] + rng.normal(scale=0.02, size=8)
+        rows.append((i, (v / np.linalg.norm(v)).tolist()))
+    df = spark.createDataFrame(rows, "i long, v array<double>")
+    got = pairs.cosine_pairs(df, "i", "v", 0.9995, pivots=40)
+    v = np.array([r[1] for r in rows])
+    assert {(r["a"], r["b"]) for r in got.collect()} == {(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(v @ v.T >= 0.9995, 1)))}
 
 
 def test_selection_picks(spark):

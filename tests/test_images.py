@@ -6,6 +6,7 @@ import json
 import math
 import os
 import struct
+import zlib
 from datetime import datetime, timezone
 
 import numpy as np
@@ -18,7 +19,7 @@ from quarry.functions import kernels as K
 from quarry.operators import inference
 from quarry.operators.bursts import assign_bursts, burst_names
 from quarry.operators.pairs import cosine_pairs, near_chosen, nearest
-from quarry.operators.selection import select_greedy
+from quarry.operators.selection import WEIGHTS, select_greedy
 from quarry.sources import capture, images, outputs, vocabulary
 
 CONFIG = {
@@ -103,6 +104,10 @@ def test_colours_turns_and_squares():
     want = {1: a, 2: [[2, 1], [4, 3], [6, 5]], 3: [[6, 5], [4, 3], [2, 1]], 4: [[5, 6], [3, 4], [1, 2]], 5: a.T, 6: [[5, 3, 1], [6, 4, 2]], 7: [[6, 4, 2], [5, 3, 1]], 8: [[2, 4, 6], [1, 3, 5]], None: a, 9: a}
     for turn, rows in want.items():
         assert K.orient(a, turn).tolist() == np.asarray(rows).tolist(), turn
+    for turn in range(1, 9):  # a box of the upright image shows the same pixels in the stored one
+        stored = np.arange(35).reshape(5, 7)
+        up = K.orient(stored, turn)
+        assert (K.crop(stored, (1, 2, 4, 5), turn) == up[2:5, 1:4]).all() and K.crop(stored, (1, 2, 4, 5), turn).shape == (3, 3)
     s = K.square(np.full((2, 6, 3), 9, np.uint8), True)
     assert s.shape == (6, 6, 3) and (s == 9).all()
     assert K.square(np.full((2, 6, 3), 9, np.uint8), False)[0, 0].tolist() == [255, 255, 255]
@@ -237,7 +242,8 @@ def test_vector_joins_are_exact(spark):
     v[7] = v[3]
     df = spark.createDataFrame([(f"k{i:02d}", x.tolist()) for i, x in enumerate(v)], "k string, v array<double>")
     s = v @ v.T
-    got = {(r["a"], r["b"]) for r in cosine_pairs(df, "k", "v", 0.5, blocks=5).collect()}
+    got = {(r["a"], r["b"]) for r in cosine_pairs(df, "k", "v", 0.5, pivots=5, block_rows=7).collect()}
+    assert got == {(r["a"], r["b"]) for r in cosine_pairs(df, "k", "v", 0.5).collect()}
     assert got == {(f"k{i:02d}", f"k{j:02d}") for i in range(60) for j in range(i + 1, 60) if s[i, j] >= 0.5}
     chosen = df.where("k < 'k10'")
     found = {r["k"]: r["nearest"] for r in nearest(df, chosen, "k", "v").collect()}
@@ -247,7 +253,34 @@ def test_vector_joins_are_exact(spark):
     assert near == {(f"k{i:02d}", f"k{j:02d}") for i in range(60) for j in range(10) if s[i, j] >= 0.4}
 
 
-def test_selection_by_passes_is_the_same(spark):
+def sequential(rows, group_of, weight, target, n):
+    """Picks by the plain rule, a pick at a time over all rows."""
+    p, chosen, covered, used, similar = WEIGHTS, [], np.zeros(len(target)), {}, {r[0]: -1.0 for r in rows}
+    while len(chosen) < min(n, len(rows)):
+        scored = []
+        for i, q, blame, burst, focus, v, e in rows:
+            if i in chosen:
+                continue
+            gains = {}
+            for g, w, t, c, x in zip(group_of, weight, target, covered, e):
+                gains[g] = max(gains.get(g, 0.0), x * (max(t - c, 0) / t if t > 1e-6 else 0.0) * w / max(1.0, *weight))
+            best = [x for x in sorted(gains.values(), reverse=True)[: p["top_groups"]] if x > 1e-6]
+            s = similar[i]
+            clip = lambda x: min(1.0, max(0.0, x))
+            score = p["quality"] * (q or 0) + p["coverage"] * (sum(best) / max(1, len(best))) + p["novelty"] * (clip((1 - s) / (1 - p["novelty_start"])) if chosen else 0.5)
+            score -= (blame or 0) + p["redundancy"] * clip((s - p["redundancy_start"]) / (1 - p["redundancy_start"])) ** 2
+            score -= p["soft_focus"] * clip(((focus or 0) - p["soft_start"]) / (p["fail_risk"] - p["soft_start"])) + (p["repeat"] * min(3, used.get(burst, 0)) if burst else 0)
+            scored.append((score, q or 0, i, burst, v, e))
+        top = max(x[0] for x in scored)
+        _, _, i, burst, v, e = min((x for x in scored if x[0] >= top - 1e-8), key=lambda x: (-x[1], x[2]))
+        chosen.append(i)
+        covered = covered + np.array(e)
+        used[burst] = used.get(burst, 0) + 1
+        similar = {r[0]: max(similar[r[0]], float(np.dot(r[5], v))) for r in rows}
+    return chosen
+
+
+def test_selection_is_sequential(spark):
     rng = np.random.default_rng(7)
     v = rng.normal(size=(30, 4))
     v /= np.linalg.norm(v, axis=1, keepdims=True)
@@ -255,8 +288,10 @@ def test_selection_by_passes_is_the_same(spark):
     rows += [("r30", *rows[4][1:]), ("r31", None, None, None, None, *rows[4][5:])]
     pool = spark.createDataFrame(rows, "record_id string, quality double, penalty double, burst string, focus_risk double, vector array<double>, evidence array<double>")
     args = (["a", "a", "b"], [1.0, 1.2, 0.5], [4.0, 2.0, 0.0], 12)
-    one = sorted((r["pick"], r["record_id"]) for r in select_greedy(pool, *args).collect())
-    assert len(one) == 12 and one == sorted((r["pick"], r["record_id"]) for r in select_greedy(pool, *args, one_task_rows=1).collect())
+    want = sequential(rows, *args)
+    assert len(want) == 12
+    for candidates in (1024, 6, 1):
+        assert [r["record_id"] for r in select_greedy(pool, *args, candidates=candidates).orderBy("pick").collect()] == want
     assert select_greedy(pool.limit(0), *args).count() == 0
 
 
@@ -299,6 +334,48 @@ def test_scan_and_audit(spark, folder):
     assert (r["laplacian"], r["exposure"]) == K.simple_signals(rgb) and bytes(r["thumb"]) == K.thumb(rgb).tobytes()
 
 
+def stored(up: np.ndarray, turn: int) -> np.ndarray:
+    """The image that `turn` makes upright."""
+    a = up[::-1] if turn in (3, 4, 7, 8) else up
+    a = a[:, ::-1] if turn in (2, 3, 6, 7) else a
+    return a.swapaxes(0, 1) if turn in (5, 6, 7, 8) else a
+
+
+def test_all_orientations_of_parents_and_crops(spark, tmp_path):
+    up = picture(7, 96, 128)
+    for turn in range(1, 9):
+        block = b"MM\0*" + struct.pack(">IHHHIHHI", 8, 1, capture.ORIENTATION, 3, 1, turn, 0, 0)
+        data = outputs.png(np.ascontiguousarray(stored(up, turn)))
+        chunk = struct.pack(">I", len(block)) + b"eXIf" + block + struct.pack(">I", zlib.crc32(b"eXIf" + block))
+        (tmp_path / f"{turn}.png").write_bytes(data[:33] + chunk + data[33:])
+    cfg = config.checked(CONFIG)
+    rows = images.records(spark, str(tmp_path), None, cfg)
+    by = {int(os.path.basename(r["path"])[0]): r for r in rows.collect()}
+    box = (20, 8, 100, 72)
+    wanted = rows.select("path", F.lit("face_crop").alias("kind"), F.lit(0).alias("view_index"), F.struct(*[F.lit(v).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), box)]).alias("crop_box"), F.lit(0.9).alias("confidence"), F.lit(40.0).alias("w"), F.lit(40.0).alias("h"))
+    crops = {int(os.path.basename(r["path"])[0]): r for r in images.crop_records(spark, str(tmp_path), rows, wanted, cfg).collect()}
+    part = up[8:72, 20:100]
+    for turn in range(1, 9):
+        r, c = by[turn], crops[turn]
+        assert (r["orientation"], r["width"], r["height"]) == (turn, 128, 96) and K.pixel_difference(bytes(r["thumb"]), K.thumb(up).tobytes()) < 0.004
+        assert r["laplacian"] == pytest.approx(K.simple_signals(up)[0], rel=1e-9) and r["blur_global"] == pytest.approx(K.blur_signals(up)[0], abs=1e-3)
+        assert (c["orientation"], c["width"], c["height"], c["phash"]) == (turn, 80, 64, K.perceptual_hash(K.hash_view(K.grey(part))))
+        assert bytes(c["thumb"]) == K.thumb(part).tobytes() and c["laplacian"] == K.simple_signals(part)[0]
+    chosen = spark.createDataFrame([(crops[t]["path"], str(t), t, f"{t}.png", box, t) for t in crops], "path string, record_id string, pick int, file string, crop_box struct<x1:int,y1:int,x2:int,y2:int>, orientation int")
+    outputs.materialise(spark, str(tmp_path), outputs.manifest(chosen), str(tmp_path / "out"), "copy")
+    assert {(tmp_path / "out" / f"{t}.png").read_bytes() for t in range(1, 9)} == {outputs.png(part)}
+
+
+def test_other_formats_go_to_the_decoder(spark, tmp_path):
+    rgb = np.arange(60, dtype=np.uint8).reshape(4, 5, 3)
+    (tmp_path / "a.webp").write_bytes(rgb.tobytes())
+    (tmp_path / "b.avif").write_bytes(b"broken")
+    decoder = lambda: lambda b: np.frombuffer(b, np.uint8).reshape(4, 5, 3)
+    got = {os.path.basename(r["path"]): r for r in images.pixels(spark, str(tmp_path), decoder=decoder).collect()}
+    assert got["b.avif"]["height"] == -1 and (K.to_rgb(got["a.webp"]["data"], 4, 5, 3) == rgb).all()
+    assert {r["height"] for r in images.pixels(spark, str(tmp_path), decoder=lambda: None).collect()} == {-1}
+
+
 def test_inference_hooks(spark, folder):
     rows = images.pixels(spark, str(folder)).withColumnRenamed("path", "record_id")
     inputs = inference.model_inputs(rows, 8, True)
