@@ -63,6 +63,7 @@ def line_ids(df: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
 def later_copies(docs: DataFrame) -> DataFrame:
     """(quarry__did, quarry__hash, lines) of documents whose whole text a smaller doc_id has."""
     least = docs.groupBy("quarry__hash", "other").agg(F.min("quarry__did").alias("least"), F.max("quarry__did").alias("most")).where("least < most").drop("most")
+    least = cut(least, "copied")  # a table, so that Spark can split a large group's partition of the join
     return docs.join(least, ["quarry__hash", "other"]).where("quarry__did > least").select("quarry__did", "quarry__hash", F.size("lines").alias("lines"), "other").distinct()
 
 
@@ -155,23 +156,25 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text", min_word
     whole = copies.join(enough, ["quarry__did", "quarry__hash"]).select("quarry__did", "quarry__hash", F.sequence(F.lit(0), F.col("lines") - 1).alias("quarry__gone"), power.alias("shared_lines"))
     gone = gone.unionByName(whole)
     columns = [c for c in df.columns if c not in ADDED]
-    rows = df.select(*columns, *_keys(key, text)).join(gone, ["quarry__did", "quarry__hash"], "left")
+    packed = F.struct(*[c for c in columns if c != text], F.lit(0).alias(text)).alias("quarry__row")  # so that no column's name can clash
+    rows = df.select(packed, F.col(text).alias("quarry__text"), *_keys(key, text)).join(gone, ["quarry__did", "quarry__hash"], "left")
+    old = F.col("quarry__text")
     lines = F.col("quarry__lines")
-    rows = rows.withColumn("quarry__lines", F.when(F.col("quarry__gone").isNotNull(), F.split(text, "\n")))
+    rows = rows.withColumn("quarry__lines", F.when(F.col("quarry__gone").isNotNull(), F.split(old, "\n")))
     rows = rows.withColumn("quarry__full", _full(lines)).withColumn("quarry__out", F.transform("quarry__gone", lambda p: F.get(F.col("quarry__full"), p)))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "quarry__out")
     new = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    count = F.when(F.col(text).isNull(), 0).otherwise(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"))) + 1)
+    count = F.when(old.isNull(), 0).otherwise(F.char_length(old) - F.char_length(F.replace(old, F.lit("\n"))) + 1)
     first = F.size(F.array_except("quarry__gone", F.transform("quarry__gone", lambda p: p + 1)))
     none = F.col("quarry__gone").isNull()
     out = F.struct(
         count.cast("long").alias("n_lines"), F.when(none, 0).otherwise(F.size("quarry__gone")).cast("long").alias("n_removed"),
         F.when(none, 0).otherwise(first).cast("long").alias("n_runs"), F.coalesce("shared_lines", F.lit(0)).cast("long").alias("shared_lines"),
-        F.when(none, F.col(text)).otherwise(new).alias(text),
+        F.when(none, old).otherwise(new).alias("text"),
     )
     # a generator, so that conditions on the new text are not computed inside the join, line by line
-    rows = rows.select(*[c for c in columns if c != text], F.explode(F.array(out)).alias("quarry__out"))
-    return rows.select(*[F.col("quarry__out")[c].alias(c) if c == text else F.col(c) for c in columns], *[F.col("quarry__out")[c].alias(c) for c in ADDED])
+    rows = rows.select("quarry__row", F.explode(F.array(out)).alias("quarry__out"))
+    return rows.select(*[F.col("quarry__out")["text"].alias(c) if c == text else F.col("quarry__row")[c].alias(c) for c in columns], *[F.col("quarry__out")[c].alias(c) for c in ADDED])
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,21 +111,25 @@ def redact(df: DataFrame, key: str = "doc_id", text: str = "text", owner: str =
 
     Rows with equal key, owner, repository and text have the same values, so they are looked up once.
     """
-    named = df.withColumn("quarry__hash", F.xxhash64(F.lit(5), text, owner, repository))
+    packed = F.struct(*[c for c in df.columns if c != text], F.lit(0).alias(text)).alias("quarry__row")  # so that no column's name can clash
+    own = {"quarry__id": key, "quarry__text": text, "quarry__owner": owner, "quarry__repository": repository}
+    named = df.select(packed, *[F.col(c).alias(n) for n, c in own.items()])
+    named = named.withColumn("quarry__hash", F.xxhash64(F.lit(5), "quarry__text", "quarry__owner", "quarry__repository"))
     spans = F.array_sort(F.transform(F.filter("added", lambda x: x["kind"] == "live"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))))
-    live = marked(named, key, text, owner, repository, ("quarry__hash",)).select(F.col("doc_id").alias("quarry__key"), "quarry__hash", spans.alias("quarry__spans"))
+    live = marked(named, "quarry__id", "quarry__text", "quarry__owner", "quarry__repository", ("quarry__hash",)).select(F.col("doc_id").alias("quarry__key"), "quarry__hash", spans.alias("quarry__spans"))
     live = live.where(F.size("quarry__spans") > 0).groupBy("quarry__key", "quarry__hash").agg(F.first("quarry__spans").alias("quarry__spans"))
-    rows = named.join(live, F.col(key).eqNullSafe(F.col("quarry__key")) & (named["quarry__hash"] == live["quarry__hash"]), "left").drop(live["quarry__hash"])
+    rows = named.join(live, F.col("quarry__id").eqNullSafe(F.col("quarry__key")) & (named["quarry__hash"] == live["quarry__hash"]), "left").drop(live["quarry__hash"])
 
     def step(acc: Column, x: Column) -> Column:
-        before = F.col(text).substr(acc["at"] + 1, x["start"] - acc["at"])
+        before = F.col("quarry__text").substr(acc["at"] + 1, x["start"] - acc["at"])
         new = F.struct(x["end"].alias("at"), F.concat(acc["out"], before, F.lit(mark)).alias("out"))
         longer = F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))
         return F.when(x["start"] >= acc["at"], new).otherwise(longer)
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    new = F.aggregate("quarry__spans", start, step, lambda acc: F.concat(acc["out"], F.col(text).substr(acc["at"] + 1, F.char_length(text))))
-    return rows.select(*[F.when(F.col("quarry__spans").isNull(), F.col(text)).otherwise(new).alias(text) if c == text else F.col(c) for c in df.columns])
+    new = F.aggregate("quarry__spans", start, step, lambda acc: F.concat(acc["out"], F.col("quarry__text").substr(acc["at"] + 1, F.char_length("quarry__text"))))
+    new = F.when(F.col("quarry__spans").isNull(), F.col("quarry__text")).otherwise(new)
+    return rows.select(*[new.alias(text) if c == text else F.col("quarry__row")[c].alias(c) for c in df.columns])
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,11 +35,77 @@ def empty(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", [*sorted(entry.QUERIES), "pipeline"])
+def ids_of(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.default_path()).encode(text or "", add_special_tokens=False).ids
+
+
+def sha(x):
+    return hashlib.sha256(x if isinstance(x, bytes) else x.encode()).hexdigest()
+
+
+def odd_values(name):
+    """What the query gives for ODD, one tuple a row, by plain means."""
+    texts = [(i, t or "") for i, t in ODD]
+    if name == "op2_secrets":
+        return ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"], [(i, 0, 0, 0, sha(""), "") for i, _ in texts]
+    if name == "op3_licenses":
+        return ["doc_id", "license_id", "n_notices", "notice_ids"], [(i, None, 0, "") for i, _ in texts]
+    if name == "op4_media":
+        rows = [(i, t.encode()) for i, t in texts]
+        rows = [(i, len(b), b + bytes(-len(b) % 64 or (0 if b else 64))) for i, b in rows]
+        return ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32"], [(i, n, len(b), sha(b), zlib.crc32(b[-64:])) for i, n, b in rows]
+    if name == "op6_line_dedup":
+        return ["doc_id", "n_removed", "kept_sha256"], [(i, 1 if i == 6 else 0, sha("" if i == 6 else t)) for i, t in texts]
+    if name == "op7_jaccard":
+        return ["doc_id", "n_shingles", "component_id"], linked(ODD)
+    if name == "op8_suffixes":
+        return ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], covered(ODD)
+    if name == "op9_language":
+        return ["doc_id", "held_out", "und"], [(i, i is not None and zlib.crc32(str(i).encode()) % 3 == 1, not any(c.isalpha() for c in t)) for i, t in texts]
+    if name == "op10_bpe":
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(bpe.default_path())
+        return ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], [(i, len(x), sha(" ".join(map(str, x))), sha(library.decode(x, skip_special_tokens=False))) for i, x in ((i, ids_of(t)) for i, t in texts)]
+    if name == "op5_packing":
+        return ["doc_id", "doc_tokens"], [(i, len(ids_of(t)) + 1) for i, t in texts]
+    return ["doc_id", "n_chars"], [(i, len(t)) for i, t in texts]
+
+
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_odd_rows(spark, odd, name):
-    rows = (entry.QUERIES | {"pipeline": corpus_pipeline.run})[name](spark, odd).collect()
-    if name not in ("op5_packing", "pipeline"):
-        assert sorted(str(r["doc_id"]) for r in rows) == sorted(str(i) for i, _ in ODD)
+    got = entry.QUERIES[name](spark, odd)
+    columns, want = odd_values(name)
+    rows = [r.asDict() | ({"und": r["lang_pred"] == "und"} if name == "op9_language" else {}) for r in got.collect()]
+    if name == "op5_packing":
+        rows = [r for r in rows if not r["start"]]
+    assert sorted((tuple(r[c] for c in columns) for r in rows), key=str) == sorted(want, key=str)
+
+
+def test_odd_rows_in_the_pipeline(spark, odd):
+    """Wordless texts go, and the one letter that costs more than a byte; of the repeated ones the null doc_id's stays; the rest is packed whole."""
+    rows = corpus_pipeline.run(spark, odd).collect()
+    assert {r["doc_id"] for r in rows} == {None, 5, 7, 8}
+    texts = dict(ODD[i] for i in (4, 7, 8, 9))
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows} == {i: len(ids_of(t)) + 1 for i, t in texts.items()}
+
+
+CLASH = "quarry__did quarry__hash quarry__row quarry__text lang_pred score bits_per_byte n_removed n_lines shared_lines rank first words component root label d e n key base added".split()
+
+
+def test_clashing_names(spark):
+    """Extra columns keep their names and values through every stage, whatever the operators call their own."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    extra = docs.select("*", *[corpus_pipeline.F.concat(corpus_pipeline.F.lit(c + ":"), "doc_id").alias(c) for c in CLASH])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, rows = stage(spark, docs, SF), stage(spark, extra, SF)
+        assert rows.columns == extra.columns
+        got = rows.collect()
+        assert all(r[c] == f"{c}:{r['doc_id']}" for r in got for c in CLASH), name
+        assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((r["doc_id"], r["text"]) for r in plain.collect())
+    assert packing.pack_documents(extra).count() >= 40
 
 
 @pytest.mark.parametrize("name", [*sorted(entry.QUERIES), "pipeline"])
@@ -60,18 +126,66 @@ def test_same_as_sql(spark, name):
     assert sorted((pick(tuple(r), got.columns) for r in got.collect()), key=str) == sorted((pick(r, columns) for r in rows.fetchall()), key=str)
 
 
-def test_fingerprints(spark):
-    rows = [(i, " ".join(f"w{(i * 7 + k) % 23}" for k in range(5 + i * 3))) for i in range(50)]
+MASK = (1 << 64) - 1
+
+
+def mixed(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+    return x ^ (x >> 31)
+
+
+def shingle_hashes(text, q=5):
+    """Distinct shingles' hashes in plain integers, and the shingles."""
+    step = 0x9E3779B97F4A7C15
+    words = re.findall(rb"[^\x20\x09-\x0d]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()))
+
+    def of_word(w):
+        h = mixed((len(w) + step) & MASK)
+        for i in range(0, len(w), 8):
+            h = mixed(((h ^ int.from_bytes(w[i : i + 8], "little")) + step) & MASK)
+        return h
+
+    def of_run(run):
+        h = len(run)
+        for w in run:
+            h = mixed((h * step + of_word(w)) & MASK)
+        return h
+
+    runs = {tuple(words[i : i + q]) for i in range(max(len(words) - q + 1, 1))} if words else set()
+    return sorted(map(of_run, runs)), runs
+
+
+def test_fingerprints_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(["Alpha", "beta", "Straße", "delta\n", "a-much-longer-word-of-many-bytes", f"w{rng.randrange(40)}"]) for _ in range(rng.choice([0, 1, 4, 5, 30, 90, 400])))) for i in range(60)]
+    rows += [(60, rows[7][1]), (61, None), (62, "")]
     got = {r["doc_id"]: r for r in fingerprints.fingerprint_edits(table(spark, rows).repartition(5).select("doc_id", "text")).collect()}
-    assert len(got) == 50
-    for i, t in rows:
-        after = rows[(i + 1) % 50][1]
+    assert len(got) == len(rows)
+    for i, (d, t) in enumerate(rows):
+        t, after = t or "", rows[(i + 1) % len(rows)][1] or ""
         edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
-        marks = fingerprints.sketch(pa.array([t, edited, after]))
-        r = got[i]
-        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and r["n_chars"] == len(t)
-        assert r["fingerprint"] == fingerprints.encode(marks[0]) and r["edited_fingerprint"] == fingerprints.encode(marks[1])
-        assert r["near_edited"] == fingerprints.resemblance(marks[0], marks[1]) and r["near_next"] == fingerprints.resemblance(marks[0], marks[2])
+        r = got[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), sha(edited))
+        for column, x in (("fingerprint", t), ("edited_fingerprint", edited)):
+            assert fingerprints.decode(r[column]).tolist() == shingle_hashes(x)[0][: fingerprints.K]
+        for column, x in (("near_edited", edited), ("near_next", after)):
+            (_, a), (_, b) = shingle_hashes(t), shingle_hashes(x)
+            exact = len(a & b) / len(a | b) if a | b else 1.0
+            if max(len(a), len(b)) < fingerprints.K:
+                assert r[column] == exact
+            assert abs(r[column] - exact) < 0.2
+    assert got[7]["fingerprint"] == got[60]["fingerprint"]
+
+
+def test_fingerprints_merge_by_key(spark):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{rng.randrange(30)}" for _ in range(60)) for _ in range(40)]
+    df = fingerprints.fingerprint(table(spark, list(enumerate(texts))).repartition(6))
+    got = {r["source"]: fingerprints.decode(r["fingerprint"]).tolist() for r in fingerprints.merge_by(df, "source").collect()}
+    for k in range(3):
+        every = sorted({h for i, t in enumerate(texts) if i % 3 == k for h in shingle_hashes(t)[0]})
+        assert got[f"s{k}"] == every[: fingerprints.K]
 
 
 def test_sketch_estimates():
@@ -93,6 +207,29 @@ def test_media_round_trip():
         media.read_jpegs([b"no picture"])
 
 
+def test_media_by_another_decoder(spark, tmp_path):
+    """Files of small coefficients, which no clipping changes, as the JVM reads them: sizes, and grey levels by block."""
+    rng = random.Random(5)
+    rows = [(i, "".join(chr(rng.randrange(1, 127)) + "\0" * 63 for _ in range(n))) for i, n in enumerate([1, 2, 64, 65, 200])]
+    (tmp_path / "jpg").mkdir()
+    got = media.media_columns(table(spark, rows), keep_media=True).collect()
+    for r in got:
+        (tmp_path / "jpg" / f"{r['doc_id']}.jpg").write_bytes(r["media"])
+        b = rows[r["doc_id"]][1].encode()
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(b), len(b), sha(b), zlib.crc32(b[-64:]))
+        assert (r["media_bytes"], r["media_sha256"]) == (len(r["media"]), sha(bytes(r["media"])))
+    seen = {int(os.path.basename(r["image"]["origin"]).split(".")[0]): r["image"] for r in spark.read.format("image").load(str(tmp_path / "jpg")).collect()}
+    for r in got:
+        image, small = seen[r["doc_id"]], media.thumbnail(media.read_jpegs([bytes(r["media"])])[0])
+        assert r["feature"].startswith(f"{image['width']}x{image['height']}:") and image["nChannels"] == 1
+        grey = np.frombuffer(image["data"], np.uint8).reshape(image["height"], image["width"]).astype(float)
+        high, wide = (n // 8 for n in grey.shape)
+        means = grey[: 8 * high, : 8 * wide].reshape(high, 8, wide, 8).mean(axis=(1, 3))
+        assert np.abs(means - small[:high, :wide]).max() <= 1.0
+    read = media.read_media(spark.createDataFrame([(r["doc_id"], r["media"]) for r in got] + [(90, b"none"), (91, None)], "i long, b binary"), "i", "b")
+    assert {x["i"]: x["feature"] for x in read.collect()} == {r["doc_id"]: r["feature"] for r in got} | {90: None, 91: None}
+
+
 def test_bpe_is_the_librarys():
     from tokenizers import Tokenizer
 
@@ -128,6 +265,107 @@ def test_packing_covers_every_id_once():
     assert max(filled.values()) <= packing.WINDOW and padded == total
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+def test_packing_query(spark, tmp_path, parts):
+    """Against the library; and most tokens lie where the level array put them, at any partitioning."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.repartition(parts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = packing.op5_packing(spark, str(tmp_path)).collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    of, windows, how = {}, {}, {}
+    for r in rows:
+        of.setdefault(r["doc_id"], []).append(r)
+        windows.setdefault(r["sequence_id"], []).append(r)
+        how[r["how"]] = how.get(r["how"], 0) + r["length"]
+    assert set(of) == set(texts)
+    for i, pieces in of.items():
+        ids, at = [*ids_of(texts[i]), packing.END_ID], 0
+        for r in sorted(pieces, key=lambda r: r["start"]):
+            assert (r["start"], r["doc_tokens"], r["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids[at : at + r["length"]], "<u4").tobytes()))
+            at += r["length"]
+        assert at == len(ids)
+    for pieces in windows.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= packing.WINDOW and at & (at - 1) == 0
+    assert how["closed"] < 0.1 * (how["closed"] + how["level"])
+
+
+def test_sum_of_squares_takes_the_least_growth():
+    rng, levels = random.Random(3), packing.SumOfSquares(16)
+    for _ in range(2000):
+        size, before, opened = rng.randint(1, 15), levels.count.copy(), levels.open
+        may = opened < min(max((levels.placed + 1) // packing.OPEN_EACH, packing.OPEN_LEAST), packing.OPEN_MOST)
+        parts = levels.place(size)
+        growth = int((levels.count[:16] ** 2).sum() - (before[:16] ** 2).sum())
+
+        def grown(leave, *enter):
+            c = before.copy()
+            if leave:
+                c[leave] -= 1
+            for level in enter:
+                c[level] += 1
+            return int((c[:16] ** 2).sum() - (before[:16] ** 2).sum())
+
+        fits = [grown(h, h + size) for h in range(0 if may else 1, 17 - size) if not h or before[h]]
+        cuts = [grown(h, h + size - 16) for h in range(17 - size, 16) if before[h]]
+        assert growth == (min(fits) if fits else min(cuts)) and len(parts) == (1 if fits else 2) and sum(n for _, n in parts) == size
+
+
+class Coder:
+    """Prediction by partial matching over dicts, byte by byte."""
+
+    def __init__(self, texts, order=language.ORDER):
+        self.seen, self.order = {}, order
+        for t in texts:
+            b = b"\n" * order + re.sub(rb"[A-Z]", lambda m: m[0].lower(), t.encode())
+            for i in range(order, len(b)):
+                for k in range(order + 1):
+                    self.seen.setdefault(b[i - k : i], {}).setdefault(b[i], 0)
+                    self.seen[b[i - k : i]][b[i]] += 1
+
+    def bits(self, text):
+        b, total = b"\n" * self.order + re.sub(rb"[A-Z]", lambda m: m[0].lower(), text.encode()), 0.0
+        for i in range(self.order, len(b)):
+            for k in range(self.order, -1, -1):
+                of = self.seen.get(b[i - k : i])
+                if of is None:
+                    continue
+                n = sum(of.values()) + len(of)
+                if b[i] in of:
+                    total -= np.log2(of[b[i]] / n)
+                    break
+                total -= np.log2(len(of) / n)
+            else:
+                total += 8.0
+        return total
+
+
+def test_language_bits_by_dicts():
+    texts = {"x": ["The cat sat on the mat.", "that hat", ""], "y": ["das ist das Haus", "DIE Katze"], "z": ["ça va, où ça ?"]}
+    trees = language.Trees(texts)
+    probes = ["the Hat of that cat", "das Katzenhaus", "où?", "\n", "日本", "", "q" * 50, "tha"]
+    got = trees.lengths(pa.array(probes))
+    for i, name in enumerate(trees.names):
+        coder = Coder(texts[name])
+        assert np.allclose(got[:, i], [coder.bits(t) for t in probes], rtol=1e-12)
+
+
+def test_language_of_long_texts_only(spark):
+    """A language all of whose labelled texts are longer than the sample takes is learned from their beginnings."""
+    en, de = "the house and the garden of the old man ", "das Haus und der Garten des alten Mannes "
+    rows = [(i, (en if i % 2 else de) * (30 if i % 2 else 3), "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = language.learn(docs, chars=200)
+    assert trees.names == ["de", "en"]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs.select("doc_id", "text"), trees).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+    same = language.learn(docs.repartition(7), rows=3, chars=200)
+    assert [x[0].tolist() for x in same.levels] == [x[0].tolist() for x in language.learn(docs, rows=3, chars=200).levels]
+
+
 def test_language_held_out(spark):
     got = language.op9_language(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.97 and all(0 <= r["score"] <= 1 for r in got)
@@ -223,6 +461,44 @@ def test_suffixes_against_brute_force(spark):
     assert sorted((tuple(r) for r in suffixes.remove_repeats(table(spark, rows).repartition(4)).collect()), key=str) == covered(rows)
 
 
+def test_suffixes_across_buckets(spark, monkeypatch):
+    """Buckets that end within one token's contexts: documents are found through the comparison across boundaries alone."""
+    rng = random.Random(4)
+    token = "the same sixteen"
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(60)) + token * 2 + rng.choice(["x", "y"]) * 30 + "".join(rng.choice("abcdefgh ") for _ in range(60))) for i in range(80)]
+    rows += [(100 + i, rng.choice("pq") * 20 + rows[i % 7][1][40:150]) for i in range(40)]
+    one = sorted((tuple(r) for r in suffixes.remove_repeats(table(spark, rows)).collect()), key=str)
+
+    def splitters(docs, n):
+        keys = np.stack(suffixes._suffixes(*suffixes.flat(pa.array([t for _, t in rows])))[:3])
+        order, _ = suffixes.multikey_sort(list(keys))
+        return np.unique(keys[:, order][:, 1::9], axis=1)
+
+    monkeypatch.setattr(suffixes, "_splitters", splitters)
+    assert one == sorted((tuple(r) for r in suffixes.remove_repeats(table(spark, rows)).collect()), key=str) == covered(rows)
+
+
+def test_multikey_sort():
+    rng = np.random.default_rng(2)
+    keys = [rng.integers(0, 3, 500).astype(np.uint64) for _ in range(4)]
+    order, new = suffixes.multikey_sort(keys)
+    rows = np.stack(keys)[:, order]
+    assert (rows == np.stack(keys)[:, np.lexsort(keys[::-1])]).all() and (new[1:] == (rows[:, 1:] != rows[:, :-1]).any(axis=0)).all() and new[0]
+
+
+def test_words_are_known_by_all_their_bytes(spark):
+    """Words of one letter count, the one and its complement, that a sum over places can't tell apart."""
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    short = [a[:200], b[:200]]
+    docs = table(spark, [(1, a), (2, b), (3, a), (4, short[0]), (5, short[1])])
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.join_components(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+    marks = [fingerprints.encode(x) for x in fingerprints.sketch(pa.array([a, b, a, *short]))]
+    assert marks[0] == marks[2] and len(set(marks)) == 4
+
+
 def linked(rows, q=4, of=85, in_=100):
     sets = []
     for _, t in rows:
@@ -273,15 +549,99 @@ def test_secrets_redact(spark):
     assert spans[1].startswith("access:6:28") and "copied" in spans[10]
 
 
+def secret_model(rows):
+    """(doc_id, text) after redaction of rows (doc_id, text, source), in plain Python."""
+    found, owners, repositories = [], {}, {}
+    for n, (d, t, o) in enumerate(rows):
+        for pattern, group in ((secrets.ASSIGN, 2), (secrets.ACCESS, 0), (secrets.HEX, 0)):
+            for m in re.finditer(pattern, t):
+                v = m.group(group)
+                if group and len(v) < secrets.ASSIGN_LEAST:
+                    continue
+                found.append((n, m.end() - len(v), m.end(), v))
+                owners.setdefault(v, set()).add(o)
+                repositories.setdefault(v, set()).add(d)
+    cuts = {}
+    for n, a, b, v in found:
+        copied = len(owners[v]) >= secrets.COPIED_OWNERS or len(owners[v]) > 1 and len(repositories[v]) >= secrets.COPIED_REPOSITORIES
+        live = len(v) >= secrets.LIVE_CHARS and len(set(v)) >= secrets.LIVE_KINDS and re.search("[0-9]", v) and not re.search(secrets.PLACEHOLDER, v.lower())
+        if live and not copied:
+            cuts.setdefault(n, set()).add((a, b))
+    out = []
+    for n, (d, t, _) in enumerate(rows):
+        at, new = 0, ""
+        for a, b in sorted(cuts.get(n, ())):
+            if a >= at:
+                new += t[at:a] + "<secret>"
+            at = max(at, b)
+        out.append((d, new + t[at:]))
+    return sorted(out)
+
+
+def test_ownership_counts_repositories_once(spark, tmp_path):
+    """Five documents under two sources each: five repositories, not ten; nulls are an owner and a repository."""
+    text = "password=q7Lm2Xz9Rt4Vb8Kp1"
+    rows = [(i, text, None, f"s{k}", len(text)) for i in range(5) for k in range(2)]
+    rows += [(None, "token = null0123456789owner", None, None, 27), (20, "token = null0123456789owner", None, None, 27), (21, "token = null0123456789owner", None, "s1", 27), (22, "token = null0123456789owner", None, "s2", 27)]
+    rows += [(30 + i, "secret: hot0source9value12345", None, "hot", 29) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in secrets.op2_secrets(spark, str(tmp_path)).collect()]
+    spans = {r[0]: r[5] for r in got}
+    assert "copied" not in spans[0] and "live" in spans[0] and "copied" in spans[20] and "live" in spans[30]
+    import duckdb
+
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(got, key=str) == sorted(c.execute(secrets.ORACLE_SQL).fetchall(), key=str)
+
+
+def test_bpe_query(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.default_path())
+    got = {r["doc_id"]: r for r in bpe.op10_bpe(spark, SF).collect()}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert tuple(got[r["doc_id"]])[1:] == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+
+
+def test_line_dedup_doubles_to_the_end(spark):
+    """Runs longer than any that the word rule needs are ranked, and every maximal run goes in its later place."""
+    long = [f"line number {i} of the long run" for i in range(37)]
+    rows = [(1, "\n".join(["a b c d e f", *long, "x"])), (2, "\n".join(["other words", *long, "y"])), (3, "\n".join(long[5:14])), (4, "\n".join(["new", *long[:3], "words", *long[30:]])), (5, "\n".join(long[5:14]))]
+    got = {r["doc_id"]: r for r in lines.dedup_lines(table(spark, rows)).collect()}
+    assert {i: r["text"] for i, r in got.items()} == maximal(rows) == {1: rows[0][1], 2: "other words\ny", 3: "", 4: "new\nwords", 5: ""}
+    assert [got[i]["shared_lines"] for i in range(1, 6)] == [0, 32, 8, 4, 8] and [got[i]["n_runs"] for i in range(1, 6)] == [0, 1, 1, 2, 1]
+
+
 def test_pipeline_stages(spark):
+    """Every stage against a plain model of it, on its own input."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        new = corpus_pipeline.cut(stage(spark, docs, SF), name)
-        assert new.columns == docs.columns and new.count() <= docs.count()
-        docs = new
-    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
-    want = [r for r in linked([(d, t) for d, t in texts.items()], 5, 80, 100)]
-    assert all(d == c for d, _, c in want)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name, docs):
+        new = corpus_pipeline.cut(stages[name](spark, docs, SF), name)
+        assert new.columns == docs.columns and all(r["n_chars"] == len(r["text"]) for r in new.collect())
+        return new, {r["doc_id"]: r["text"] for r in new.collect()}
+
+    trees = language.learn(docs)
+    given = {r["doc_id"]: r["text"] for r in docs.collect()}
+    docs, kept = after("language", docs)
+    bits = trees.lengths(pa.array(list(given.values()))).min(axis=1)
+    assert set(kept) == {i for (i, t), b in zip(given.items(), bits) if re.search(r"[^\W\d_]", t or "") and b <= 8 * len(t.encode())}
+    given = kept
+    docs, kept = after("line_dedup", docs)
+    digests = {r[0]: (r[2], r[-1]) for r in line_sql(list(given.items()))}
+    assert {i: sha(t) for i, t in kept.items()} == {i: digests[i][1] for i, t in given.items() if not digests[i][0] or i in kept}
+    assert all(digests[i][0] and digests[i][1] in (sha(""), *map(sha, ["\n" * n for n in range(1, 50)])) for i in set(given) - set(kept))
+    given = kept
+    docs, kept = after("jaccard", docs)
+    assert set(kept) == {d for d, n, c in linked(list(given.items()), 5, 80, 100) if not n or d == c}
+    assert all(d == c for d, _, c in linked(list(kept.items()), 5, 80, 100))
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    docs, texts = after("secrets", docs)
+    assert sorted(texts.items()) == secret_model(rows)
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(bpe.default_path())
