@@ -23,21 +23,28 @@ MOST_BITS = 8.0
 NEAR_WORDS, NEAR_OF, NEAR_IN = 5, 80, 100
 
 
-def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
-    return docs.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in columns])
+def _packed(docs: DataFrame):
+    """The columns but the text as one, so that no name of theirs can clash with an operator's."""
+    return F.struct(*[c for c in docs.columns if c != "text"]).alias("quarry__row")
+
+
+def _unpacked(rows: DataFrame, columns: list[str], counted: bool = True) -> DataFrame:
+    """The columns again, with the text as it is now, and n_chars that follow it."""
+    own = {"text": F.col("text")} | ({"n_chars": F.char_length("text").cast("long")} if counted else {})
+    return rows.select(*[own.get(c, F.col("quarry__row")[c]).alias(c) for c in columns])
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trees = language.learn(docs)
     if not trees.names:  # nothing is labelled, so no text is in the wrong language
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language.identify(docs, trees)
-    return found.where((F.col("lang_pred") != language.NONE) & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
+    found = language.identify(docs.select("text", _packed(docs)), trees)
+    return _unpacked(found.where((F.col("lang_pred") != language.NONE) & (F.col("bits_per_byte") <= MOST_BITS)), docs.columns, counted=False)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = lines.dedup_lines(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return _counted(kept, docs.columns)
+    rows = lines.dedup_lines(docs.select("doc_id", "text", _packed(docs)))
+    return _unpacked(rows.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")), docs.columns)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +52,8 @@ def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _counted(secrets.redact(docs), docs.columns)
+    rows = secrets.redact(docs.select("doc_id", "text", "source", _packed(docs)))
+    return _unpacked(rows, docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
