@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
         tables = run(spark, a.source, a.output, cfg, models)
         for r in summary(tables).collect():
             print(f"{r['reject_reason'] or 'passed'}: {r['n']}", file=sys.stderr)
+        for r in tables["worst_risk"].orderBy("split").collect():
+            print(f"focus risk of {r['split']}: {r['worst']:.3f} at most")
         for name in ("train", "validate"):
             print(f"{name}: {tables[name].count()}")
             for r in tables[f"{name}_coverage"].collect():

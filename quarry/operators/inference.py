@@ -14,6 +14,20 @@ from pyspark.sql import types as T
 from ..functions import kernels
 
 
+def usable(name: str) -> bool:
+    """Whether this worker's tensor library, if it has one, can use the device."""
+    try:
+        import torch
+    except ImportError:
+        return False
+    return bool(torch.cuda.is_available() if name == "cuda" else getattr(torch.backends, "mps", None) and torch.backends.mps.is_available())
+
+
+def device(wanted: str, probe: Callable[[str], bool] = usable) -> str:
+    """The device of runtime.device; `auto` is the first of cuda and mps that can be used here, or cpu. For make_predict to call, in the worker."""
+    return wanted if wanted != "auto" else next((d for d in ("cuda", "mps") if probe(d)), "cpu")
+
+
 def model_inputs(rows: DataFrame, side: int, neutral: bool, bgr: bool = False) -> DataFrame:
     """(record_id, pixels) of rows (record_id, height, width, channels, data, and perhaps orientation, box): squared, resized to
     side x side, channels last, 0 to 1. Squares are filled with the mean colour (neutral) or white. Unreadable rows are left out."""

@@ -391,6 +391,11 @@ def test_inference_hooks(spark, folder):
         inference.tag_probabilities(inputs, make, 8, 4, 5).collect()
 
 
+def test_device():
+    assert [inference.device("auto", {"mps"}.__contains__), inference.device("auto", lambda d: True), inference.device("auto", lambda d: False), inference.device("cuda", lambda d: False)] == ["mps", "cuda", "cpu", "cuda"]
+    assert inference.device("auto") in ("cuda", "mps", "cpu")
+
+
 def test_whole_run(spark, folder, tmp_path):
     face = {"enabled": True, "model_path": "m", "min_size": 64, "min_face_size": 20, "context_scale": 1.5, "confidence": 0.5, "detection_max_side": 640}
     (tmp_path / "c.json").write_text(json.dumps(CONFIG | {"virtual": {"face_crop": face}}))
