@@ -73,9 +73,14 @@ KNOWN = (
 )
 
 _LINES = r"\n[\x20\t>*#/;-]*((copyright|\(c\)|©)[^\n]*|all rights reserved[\x20\t.\r]*(\n|$))"
+_MARKS_IN_LINE = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f“”‘’–—…]+"
 _MARKS = r"[\x00-\x2f\x3a-\x60\x7b-\x7f“”‘’–—…]+"
 
 
+#: Digests that a lookup may hold; they are part of the plan.
+MOST_KNOWN = 20_000
+
+
 def canonical(text: str) -> str:
     t = re.sub(_LINES, "\n", "\n" + text.lower())
     t = "  " + re.sub(_MARKS, "  ", t) + "  "
@@ -97,18 +102,45 @@ def canonical_column(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
+def canonical_columns(text: Column) -> tuple[Column, Column]:
+    """The canonical form, and those of all lines, with what both share done once: lines without a notice and marks, and spellings of one word.
+
+    Marks become two spaces but for the line's end, which keeps its own between them; where spellings of two words cross it,
+    only the whole form has them.
+    """
+    t = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), _LINES, "\n")
+    t = F.replace(F.regexp_replace(t, _MARKS_IN_LINE, "  "), F.lit("\n"), F.lit("  \n  "))
+    t = F.concat(t, F.lit("  "))
+    for a, b in SPELLINGS.items():
+        if " " not in a:
+            t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b.replace(' ', '  ')} "))
+
+    def ended(x: Column) -> Column:
+        x = F.regexp_replace(x, " +", "  ")
+        for a, b in SPELLINGS.items():
+            if " " in a:
+                x = F.replace(x, F.lit(f" {a.replace(' ', '  ')} "), F.lit(f" {b.replace(' ', '  ')} "))
+        return F.trim(F.replace(x, F.lit("  "), F.lit(" ")))
+
+    # the text begins with a line's end of its own
+    return ended(F.replace(t, F.lit("\n"))), F.transform(F.split(t, "\n"), ended)
+
+
 def scan(df: DataFrame, known: tuple = KNOWN, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of df: digest and words of the canonical text, the licence it is, and those of its lines."""
     of = digests(known)
-    table = F.broadcast(df.sparkSession.createDataFrame(sorted(of.items()), "canonical_sha256 string, license_id string"))
+    if len(of) > MOST_KNOWN:
+        raise ValueError(f"more than {MOST_KNOWN} known texts")
+    table = df.sparkSession.createDataFrame(sorted(of.items()), "canonical_sha256 string, license_id string")
     # a map is searched entry by entry, so the digests are dealt out by their first two digits
     dealt = [[x for pair in sorted(of.items()) if int(pair[0][:2], 16) == k for x in pair] or ["", ""] for k in range(256)]
     lookup = F.array(*[F.create_map(*[F.lit(x) for x in part]) for part in dealt])
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.transform(F.split(t, "\n"), lambda x: F.sha2(canonical_column(x), 256))
+    whole, lines = canonical_columns(t)
+    lines = F.transform(lines, lambda x: F.when(x != "", F.sha2(x, 256)))
     lines = F.transform(lines, lambda h: F.get(lookup, F.conv(F.substring(h, 1, 2), 16, 10).cast("int"))[h])
     found = F.filter(lines, lambda x: x.isNotNull())
-    rows = df.select(F.col(key).alias("doc_id"), canonical_column(t).alias("c"), found.alias("found"))
+    rows = df.select(F.col(key).alias("doc_id"), whole.alias("c"), found.alias("found"))
     rows = rows.select(
         "doc_id", F.sha2("c", 256).alias("canonical_sha256"),
         F.when(F.col("c") == "", 0).otherwise(F.char_length("c") - F.char_length(F.replace("c", F.lit(" "))) + 1).cast("long").alias("canonical_words"),

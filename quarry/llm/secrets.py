@@ -28,6 +28,8 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 COPIED_OWNERS = 3
 COPIED_REPOSITORIES = 10
+#: Matches whose ends are added up at a time: an array grows by one for each, so their number is kept short.
+BLOCK = 256
 LIVE_CHARS = 16
 LIVE_KINDS = 8
 PLACEHOLDER = "example|changeme|placeholder|dummy|sample|your|xxxx|test|1234567"
@@ -37,7 +39,8 @@ def _spans(text: Column, pattern: str, order: int, kind: str) -> Column:
     """Matches as structs (start, order, end, kind, value), value by code points up to the match's end."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.slice(between, 1, F.size(found)).alias("gap"), found.alias("found"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,order:int,end:int,kind:string,value:string>>").alias("out"))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int"))
+    start = lambda at: F.struct(at.alias("at"), F.array().cast("array<struct<start:int,order:int,end:int,kind:string,value:string>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         a = acc["at"] + F.char_length(x["gap"])
@@ -46,7 +49,16 @@ def _spans(text: Column, pattern: str, order: int, kind: str) -> Column:
         one = F.struct(a.alias("start"), F.lit(order).alias("order"), b.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
         return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.when(F.size(between) > 1, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(start["out"])
+    def part(b: Column) -> Column:
+        return F.slice(pairs, b * BLOCK + 1, BLOCK)
+
+    # where each block of matches starts, then the matches of each block from there
+    size = lambda b: F.aggregate(part(b), F.lit(0), lambda n, x: n + F.char_length(x["gap"]) + F.char_length(x["found"]))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    starts = F.aggregate(blocks, begin, lambda acc, b: F.struct((acc["at"] + size(b)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+    long = F.flatten(F.zip_with(blocks, starts, lambda b, at: F.aggregate(part(b), start(at), step, lambda acc: acc["out"])))
+    short = F.aggregate(pairs, start(F.lit(0)), step, lambda acc: acc["out"])
+    return F.when(F.size(between) <= 1, start(F.lit(0))["out"]).when(F.size(found) <= BLOCK, short).otherwise(long)
 
 
 def candidates(df: DataFrame, text: str = "text") -> DataFrame:

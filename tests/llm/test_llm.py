@@ -387,6 +387,8 @@ def test_licenses_full_texts(spark):
     rows = [*enumerate(texts), (50, texts[0] + "one more sentence"), (51, "text\nReleased under the Apache License, Version 2.0.\ntext"), (52, "// SPDX-License-Identifier: GPL-2.0-or-later")]
     got = {r["doc_id"]: r for r in licenses.scan(table(spark, rows)).collect()}
     assert [got[i]["license_id"] for i in range(len(texts))] == list(names.values())
+    for i, t in enumerate(texts):
+        assert got[i]["canonical_sha256"] == sha(licenses.canonical(t))
     assert got[50]["license_id"] is None and got[51]["notice_ids"] == "Apache-2.0" and got[52]["license_id"] == "GPL-2.0"
 
 
@@ -596,6 +598,22 @@ def test_ownership_counts_repositories_once(spark, tmp_path):
     assert sorted(got, key=str) == sorted(c.execute(secrets.ORACLE_SQL).fetchall(), key=str)
 
 
+def test_many_secrets_in_one_text(spark):
+    """More matches than are added up at a time."""
+    text = "".join(f"é{'x' * (i % 7)} token={i:08d}\n" for i in range(3 * secrets.BLOCK + 5))
+    [r] = secrets.scan(table(spark, [(1, text)])).collect()
+    want = [f"assign:{m.start()}:{m.end()}" for m in re.finditer(secrets.ASSIGN, text)]
+    assert r["n_assign"] == len(want) and r["base_sha256"] == sha(",".join(want))
+
+
+def test_components_of_a_chain(spark):
+    from quarry.llm.graph import components
+
+    rows = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (2000, 2000)]
+    got = {r["node"]: r["label"] for r in components(spark.createDataFrame(rows, "a long, b long").repartition(3)).collect()}
+    assert len({got[i] for i in range(301)}) == 1 and got[1000] == got[1001] != got[0] and len(got) == 303
+
+
 def test_bpe_query(spark):
     from tokenizers import Tokenizer
 
