@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .independent import kept_table
+from ..tables import kept_table
 
 WEIGHTS = {
     "quality": 0.3, "coverage": 0.5, "novelty": 0.2, "top_groups": 3, "novelty_start": 0.2, "redundancy_start": 0.3, "redundancy": 0.12, "repeat": 0.08,

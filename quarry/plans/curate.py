@@ -13,10 +13,11 @@ from pyspark.sql.window import Window
 from ..functions import kernels
 from ..functions.columns import clip01, evidence, hamming, median3, output_stem, resolution_score
 from ..operators.bursts import assign_bursts, burst_names
-from ..operators.independent import greedy_keep, kept_table
+from ..operators.independent import greedy_keep
 from ..operators.pairs import cosine_pairs, hamming_pairs, near_chosen, nearest
 from ..operators.ranks import robust_rank
 from ..operators.selection import coverage_scores, rule_of, select_greedy
+from ..tables import kept_table
 
 CROP_EXEMPT, BLUR_SPEC = "cropped_extremities", "semantic_blur"
 

@@ -11,10 +11,10 @@ from pyspark.sql.window import Window
 
 from ..functions.columns import crop_box, evidence, median_hash, norm_tag, output_stem, resolution_score
 from ..operators.bursts import assign_bursts
-from ..operators.independent import kept_table
 from ..operators.pairs import cosine_pairs, hamming_pairs, nearest
 from ..operators.ranks import robust_rank
 from ..sources import capture, images, vocabulary
+from ..tables import kept_table
 from . import curate
 from .fixtures import CFG, SPECS, SQL_BURST_IDS, SQL_RECORDS, SQL_SCORES, micros, records, scores, specs, table
 

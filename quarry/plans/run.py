@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.columns import crop_box_of
 from ..sources import images, outputs, vocabulary
+from ..tables import kept_table
 from . import curate
 
 
@@ -47,33 +48,33 @@ def run(spark: SparkSession, source: str, output: str, cfg: dict, models: Inputs
     """Runs all stages and writes train, validate and debug.csv below output. Returns the tables of the stages."""
     specs = config.specs(spark, cfg)
     spec_tags = vocabulary.resolved(specs, models.tags)
-    every = curate.kept_table(curate.with_bursts(images.records(spark, source, output, cfg), cfg), "records")
+    every = kept_table(curate.with_bursts(images.records(spark, source, output, cfg), cfg), "records")
     if cfg["virtual"]["face_crop"]["enabled"] and models.detections:
         crops = face_crops(spark, source, every, models.detections(every), cfg)
-        every = curate.kept_table(every.unionByName(crops), "records")
-    basic = curate.kept_table(curate.with_prequality(every.where("reject_reason = ''"), cfg), "basic")
-    by_hash = curate.kept_table(curate.hash_dedup(basic, cfg), "by-hash")
+        every = kept_table(every.unionByName(crops), "records")
+    basic = kept_table(curate.with_prequality(every.where("reject_reason = ''"), cfg), "basic")
+    by_hash = kept_table(curate.hash_dedup(basic, cfg), "by-hash")
     left = basic.join(by_hash.where("keep").select("record_id"), "record_id", "left_semi")
-    vectors = curate.kept_table(models.vectors(left).select("record_id", F.col("vector").cast("array<double>").alias("vector")), "vectors")
-    by_vector = curate.kept_table(curate.vector_dedup(left, vectors, cfg), "by-vector")
+    vectors = kept_table(models.vectors(left).select("record_id", F.col("vector").cast("array<double>").alias("vector")), "vectors")
+    by_vector = kept_table(curate.vector_dedup(left, vectors, cfg), "by-vector")
     compact = left.join(by_vector.where("keep").select("record_id"), "record_id", "left_semi")
-    scores = curate.kept_table(vocabulary.spec_scores(models.probabilities(compact), spec_tags), "scores")
-    gated = curate.kept_table(curate.gated(compact, scores, specs, cfg), "gated")
+    scores = kept_table(vocabulary.spec_scores(models.probabilities(compact), spec_tags), "scores")
+    gated = kept_table(curate.gated(compact, scores, specs, cfg), "gated")
     eligible = gated.where("reject_reason = ''")
     if models.brisque:
         eligible = eligible.join(models.brisque(eligible).select("record_id", "brisque"), "record_id", "left")
     eligible = curate.with_quality(eligible, cfg)
-    eligible = curate.kept_table(eligible if "brisque" in eligible.columns else eligible.withColumn("brisque", F.lit(None).cast("double")), "eligible")
+    eligible = kept_table(eligible if "brisque" in eligible.columns else eligible.withColumn("brisque", F.lit(None).cast("double")), "eligible")
     n, wanted = eligible.count(), cfg["dataset"]["train"]
     if n < wanted:
         raise RunError(f"only {n} eligible images remain; {wanted} are needed")
-    penalties = curate.kept_table(curate.semantic_penalties(gated, scores, specs, cfg), "penalties")
+    penalties = kept_table(curate.semantic_penalties(gated, scores, specs, cfg), "penalties")
     pool = eligible.join(penalties, "record_id").join(vectors, "record_id")
     train, train_targets = curate.select(pool, scores, specs, wanted, cfg)
-    train = curate.kept_table(train, "train")
-    free = curate.kept_table(curate.validation_pool(pool, train, vectors, cfg), "free")
+    train = kept_table(train, "train")
+    free = kept_table(curate.validation_pool(pool, train, vectors, cfg), "free")
     validate, validate_targets = curate.select(free, scores, specs, cfg["dataset"]["validate"], cfg)
-    validate = curate.kept_table(validate, "validate")
+    validate = kept_table(validate, "validate")
 
     for name, picks in (("train", train), ("validate", validate)):
         named = outputs.manifest(curate.file_name(picks.join(every, "record_id")))

@@ -125,3 +125,23 @@ def test_validation_picks_share_nothing(spark):
     train = {r["record_id"] for r in queries.select_greedy_train(spark, SF).collect()}
     rows = queries.select_greedy_validate(spark, SF).collect()
     assert len(rows) <= 8 and not train & {r["record_id"] for r in rows}
+
+
+def test_tables_are_swept_and_kept_off_local_disks(spark, tmp_path, monkeypatch):
+    import os
+
+    from quarry import tables
+
+    tables.sweep(spark)
+    t = tables.kept_table(spark.range(5), "five")
+    top = tables.shared_dir(spark).removeprefix("file://")
+    assert t.count() == 5 and any(n.startswith("quarry-five-") for n in os.listdir(top))
+    tables.sweep(spark)
+    assert not any(n.startswith("quarry-five-") for n in os.listdir(top))
+
+    class Cluster:
+        conf = type("", (), {"get": staticmethod(lambda k, d: d)})
+        sparkContext = type("", (), {"master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_dir(Cluster)
