@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import hashlib
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..tables import kept_table as cut  # noqa: F401
+from ..tables import sweep  # noqa: F401
+
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: Bytes of text that one vectorised pass works on; a longer single text makes its own pass.
 PASS_BYTES = 4 << 20
@@ -23,36 +23,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a local one, for a local master only."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = "file://" + os.path.join(tempfile.gettempdir(), "quarry-shared")
-    return path.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back, so that later stages need no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_written: list[str] = []
-
-
-def sweep(spark: SparkSession) -> None:
-    """Delete the tables that `cut` has written so far. To be called when the results that read them are stored."""
-    jvm = spark.sparkContext._jvm
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def partitions(df: DataFrame) -> int:
     """How many partitions a shuffle of df's rows should have: its scan's, or the session's if more."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
