@@ -115,10 +115,10 @@ def capture_time(tags: Column, stem: Column, modified: Column, use_exif: bool =
     """struct(capture_us, capture_source); null and '' where no source gives a time. tags: original, original_fraction, digitized, digitized_fraction, modified."""
     chain = []
     if use_exif:
-        exif = F.coalesce(
-            stamp_time(tags["original"], tags["original_fraction"]), stamp_time(tags["digitized"], tags["digitized_fraction"]), stamp_time(tags["modified"])
-        )
-        chain.append((exif, "exif"))
+        # one expression over the three stamps: written out three times, its generated code would be too long to compile
+        pairs = [(tags["original"], tags["original_fraction"]), (tags["digitized"], tags["digitized_fraction"]), (tags["modified"], F.lit(None).cast("string"))]
+        stamps = F.transform(F.array(*[F.struct(v.alias("value"), f.alias("fraction")) for v, f in pairs]), lambda x: stamp_time(x["value"], x["fraction"]))
+        chain.append((F.get(F.filter(stamps, lambda t: t.isNotNull()), 0), "exif"))
     if use_filename:
         chain.append((name_time(stem), "filename"))
     if use_mtime:
