@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import _STEP, cut, documents, eights, flat, mix, partitions, passes
+from .common import _STEP, cut, documents, eights, flat, mix, partitions, passes, release
 
 MATCH = 50
 ANCHOR = 16
@@ -40,6 +40,8 @@ BEFORE = MATCH - ANCHOR  # places of a window's start before a token in it
 SIDE = ANCHOR + BEFORE // 2  # of any window, this many bytes from its token on or up to its token's end lie in it
 SAMPLE_DOCUMENTS = 1000
 SAMPLE_CHARS = 4000
+#: Buckets for each partition of the input.
+BUCKETS_EACH = 2
 #: Bytes of text at a time; arrays of 8-byte numbers are made of each.
 PASS = 2 << 20
 
@@ -203,8 +205,7 @@ def _bucket(splitters: np.ndarray, keys: list[np.ndarray]) -> np.ndarray:
 
 def _entries(docs: DataFrame) -> DataFrame:
     """By document, codes 2 * place + kind of tokens: kind 0, the whole context is repeated; kind 1, its windows are to be compared."""
-    n = partitions(docs)
-    splitters = _splitters(docs, n)
+    splitters = _splitters(docs, BUCKETS_EACH * partitions(docs))
     within = splitters[:, splitters[2] > 0] if splitters.shape[1] else splitters
     shared = set(zip(within[0].tolist(), within[1].tolist()))  # tokens that several buckets may hold
 
@@ -249,11 +250,18 @@ def _entries(docs: DataFrame) -> DataFrame:
                 held.append([np.cumsum(columns[0], dtype=np.uint64), *columns[1:6], ids[0][text], ids[1][text], columns[7]])
         if not held:
             return
-        columns = [np.concatenate(c) for c in zip(*held)]
+        columns = []
+        for i in range(9):  # a column at a time, so that only one is there twice
+            columns.append(np.concatenate([h[i] for h in held]))
+            for h in held:
+                h[i] = None
         held.clear()
         order, new = multikey_sort(columns[:4])
-        t0, t1, c0, _, right, left, did, doc_hash, place = (c[order] for c in columns)
-        del columns
+        del columns[3]
+        for i, c in enumerate(columns):
+            columns[i] = c[order]
+        t0, t1, _, right, left, did, doc_hash, place = columns
+        del order, columns
         which = np.cumsum(new) - 1
         first = np.flatnonzero(new)
         least = np.minimum.reduceat(did, first)
@@ -275,23 +283,27 @@ def _entries(docs: DataFrame) -> DataFrame:
         across = np.zeros(len(first), bool)
         for x, y in shared:
             across |= (t0[first] == np.uint64(x)) & (t1[first] == np.uint64(y))
-        across &= ~compare
         keep = whole | (compare | across)[which]
         for a in range(0, len(keep), 1 << 20):
             k = np.flatnonzero(keep[a : a + (1 << 20)]) + a
             code = place[k].astype(np.int64) * 2 + ~whole[k]
-            doubt = pa.array(~whole[k] & across[which[k]])
+            sure, across_k = pa.array(whole[k] | compare[which[k]]), pa.array(~whole[k] & across[which[k]])
             sides = [pa.array(mix(t0[k] ^ mix(t1[k] + x[k].astype(np.uint64) * _STEP)).view(np.int64), mask=x[k] == 0) for x in (right, left)]
-            yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(code), doubt, *sides], ["_did", "_hash", "code", "doubt", "right", "left"])
+            yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(code), sure, across_k, *sides], ["_did", "_hash", "code", "sure", "across", "right", "left"])
+        release()
 
     dealt = docs.mapInArrow(deal, "bucket int, suffixes binary").repartitionById(splitters.shape[1] + 1, F.col("bucket"))
-    found = dealt.mapInArrow(sort, "_did long, _hash long, code long, doubt boolean, right long, left long")
+    found = dealt.mapInArrow(sort, "_did long, _hash long, code long, sure boolean, across boolean, right long, left long")
     if shared:
+        # the first documents of a token's contexts, from all buckets, by token and side
         found = cut(found, "codes")
-        doubt = found.where("doubt")
-        sides = [doubt.groupBy(s).agg(F.min("_did").alias("least"), F.max("_did").alias("most")).where(f"{s} IS NOT NULL AND least < most").select(s) for s in ("right", "left")]
-        mixed = [doubt.join(x, s, "left_semi").select("_did", "_hash", "code") for x, s in zip(sides, ("right", "left"))]
-        found = found.where("NOT doubt").select("_did", "_hash", "code").union(mixed[0].union(mixed[1]).distinct())
+        doubt = found.where("across")
+        mixed = None
+        for s in ("right", "left"):
+            group = doubt.where(F.col(s).isNotNull()).groupBy(s).agg(F.min("_did").alias("least"), F.max("_did").alias("most")).where("least < most").select(s)
+            some = doubt.where("NOT sure").join(cut(group, "sides"), s, "left_semi").select("_did", "_hash", "code")
+            mixed = some if mixed is None else mixed.union(some)
+        found = found.where("sure").select("_did", "_hash", "code").union(mixed.distinct())
     return found.groupBy("_did", "_hash").agg(F.collect_list("code").alias("codes"))
 
 
@@ -310,7 +322,7 @@ def _later_windows(df: DataFrame, n: int) -> DataFrame:
             a = at + offsets[text]
             h = token_hashes(eights(data))[a]
             left, right = np.minimum(at, BEFORE), np.minimum(offsets[text + 1] - a, MATCH)
-            bucket = (h >> np.uint64(32)) % np.uint64(n)
+            bucket = h % np.uint32(n)
             order = np.lexsort((h, bucket))
             bucket, text, at, a, left, right = (x[order] for x in (bucket.astype(np.int64), text, at, a, left, right))
             ids = np.stack([b.column("_did").to_numpy(zero_copy_only=False), b.column("_hash").to_numpy(zero_copy_only=False)])
@@ -356,6 +368,7 @@ def _later_windows(df: DataFrame, n: int) -> DataFrame:
         for a in range(0, len(at), 1 << 20):
             k = np.flatnonzero(bits[a : a + (1 << 20)]) + a
             yield pa.RecordBatch.from_arrays([pa.array(did[k]), pa.array(doc_hash[k]), pa.array(at[k].astype(np.int64)), pa.array(bits[k])], ["_did", "_hash", "place", "bits"])
+        release()
 
     some = df.where(F.exists("codes", lambda c: c % 2 == 1)).select("_did", "_hash", "text", "codes")
     dealt = some.mapInArrow(deal, "bucket int, contexts binary").repartitionById(n, F.col("bucket"))
