@@ -102,8 +102,8 @@ def canonical_column(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, " +", " "))
 
 
-def canonical_columns(text: Column) -> tuple[Column, Column]:
-    """The canonical form, and those of all lines, with what both share done once: lines without a notice and marks, and spellings of one word.
+def shared_form(text: Column) -> Column:
+    """What the canonical form and those of all lines share: the text without copyright lines and marks, with spellings of one word made one.
 
     Marks become two spaces but for the line's end, which keeps its own between them; where spellings of two words cross it,
     only the whole form has them.
@@ -114,6 +114,11 @@ def canonical_columns(text: Column) -> tuple[Column, Column]:
     for a, b in SPELLINGS.items():
         if " " not in a:
             t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b.replace(' ', '  ')} "))
+    return t
+
+
+def canonical_columns(t: Column) -> tuple[Column, Column]:
+    """The canonical form, and those of all lines, of a text's shared form."""
 
     def ended(x: Column) -> Column:
         x = F.regexp_replace(x, " +", "  ")
@@ -131,16 +136,19 @@ def scan(df: DataFrame, known: tuple = KNOWN, key: str = "doc_id", text: str = "
     of = digests(known)
     if len(of) > MOST_KNOWN:
         raise ValueError(f"more than {MOST_KNOWN} known texts")
-    table = df.sparkSession.createDataFrame(sorted(of.items()), "canonical_sha256 string, license_id string")
+    # MOST_KNOWN rows of some hundred bytes at most
+    table = F.broadcast(df.sparkSession.createDataFrame(sorted(of.items()), "canonical_sha256 string, license_id string"))
     # a map is searched entry by entry, so the digests are dealt out by their first two digits
     dealt = [[x for pair in sorted(of.items()) if int(pair[0][:2], 16) == k for x in pair] or ["", ""] for k in range(256)]
     lookup = F.array(*[F.create_map(*[F.lit(x) for x in part]) for part in dealt])
     t = F.coalesce(F.col(text), F.lit(""))
-    whole, lines = canonical_columns(t)
+    # generators, so that neither the shared form nor the result is computed again for each use
+    rows = df.select(F.col(key).alias("doc_id"), F.explode(F.array(shared_form(t))).alias("t"))
+    whole, lines = canonical_columns(F.col("t"))
     lines = F.transform(lines, lambda x: F.when(x != "", F.sha2(x, 256)))
     lines = F.transform(lines, lambda h: F.get(lookup, F.conv(F.substring(h, 1, 2), 16, 10).cast("int"))[h])
     found = F.filter(lines, lambda x: x.isNotNull())
-    rows = df.select(F.col(key).alias("doc_id"), whole.alias("c"), found.alias("found"))
+    rows = rows.select("doc_id", F.explode(F.array(F.struct(whole.alias("c"), found.alias("found")))).alias("x")).select("doc_id", "x.c", "x.found")
     rows = rows.select(
         "doc_id", F.sha2("c", 256).alias("canonical_sha256"),
         F.when(F.col("c") == "", 0).otherwise(F.char_length("c") - F.char_length(F.replace("c", F.lit(" "))) + 1).cast("long").alias("canonical_words"),
