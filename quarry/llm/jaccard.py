@@ -1,7 +1,7 @@
 """N-gram Jaccard join with vertical partitioning.
 
 A document's set holds its distinct shingles of Q words; documents link when intersection over union reaches
-SHARE_OF / SHARE_IN. Equal sets are one node. The global order of n-grams puts the frequent ones (by a count over some
+SHARE_OF / SHARE_IN. Equal sets are one node. The global order of n-grams puts the frequent ones (by a count over all
 documents, at most FREQUENT of them) last and orders by hash otherwise; any order gives the same links, a good one few
 candidates. The order is cut into fragments. Linked sets share an n-gram of their prefixes, the first
 n - ceil(share * n) + 1 n-grams, so each fragment gets the prefixes' n-grams that fall in it and counts, per pair, those
@@ -38,11 +38,12 @@ from .suffixes import from_planes, planes
 
 Q = 4
 SHARE_OF, SHARE_IN = 85, 100
-#: Of the documents, this share (of few, SAMPLE_LEAST) is counted for the order; SAMPLE_COUNT of them make an n-gram frequent.
-SAMPLE_SHARE = 1 / 16
-SAMPLE_LEAST = 4000
-SAMPLE_COUNT = 3
+#: An n-gram is frequent from OFTEN documents on; in more than OFTEN_OF documents from as many times more, OFTEN_MOST at most.
+OFTEN, OFTEN_OF, OFTEN_MOST = 3, 4000, 48
 FREQUENT = 1 << 20
+COUNT_BITS = 40  # n-grams that agree in them count together, so they have one place in the order
+COUNTED = 4 << 20  # n-grams that a task holds before it sums them up
+COUNT_PARTS = 8  # of a partition's n-grams, summed up one after another
 BITMAP = 8  # numbers of 64 bits: half for the rare n-grams, half for all
 STARS = 2  # partners that a document is compared with in the first step
 SHARED = 2  # n-grams that a pair must share early in the order, where its sizes allow to ask for so many
@@ -74,18 +75,68 @@ def _named(every: DataFrame) -> DataFrame:
     return every.join(twins, "d", "left").withColumn("d", F.when(F.col("twin"), F.xxhash64("d", "e")).otherwise(F.col("d"))).drop("twin")
 
 
-def _frequent(docs: DataFrame, q: int) -> np.ndarray:
-    """Shingles that SAMPLE_COUNT documents of a sample have, at most FREQUENT of them; they only steer the order."""
-    rate = F.xxhash64("quarry__did", "text").bitwiseAND(F.lit((1 << 30) - 1)) / float(1 << 30)
-    some = docs.where(rate < max(SAMPLE_SHARE, min(1.0, SAMPLE_LEAST / max(docs.count(), 1))))
+def _often(docs: int) -> int:
+    """How many of so many documents make an n-gram frequent."""
+    return min(OFTEN_MOST, max(OFTEN, -(-OFTEN * docs // OFTEN_OF)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _counts(docs: DataFrame, q: int, least: int, most: int = COUNTED) -> DataFrame:
+    """(gram, n): the first COUNT_BITS of each shingle that `least` documents or more have, and how many do, by all documents."""
+    n = partitions(docs)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+
+        def out(held: list[np.ndarray]) -> pa.RecordBatch:
+            gram, count = np.unique(np.concatenate(held), return_counts=True)
+            cell = gram * (n * COUNT_PARTS) >> COUNT_BITS
+            cuts = np.flatnonzero(np.diff(cell, prepend=-1))
+            blobs = []
+            for x, y in zip(cuts.tolist(), [*cuts.tolist()[1:], len(gram)]):
+                columns = [np.diff(gram[x:y], prepend=0), count[x:y].astype("<u4")]
+                blobs.append((y - x).to_bytes(4, "little") + pack(b"".join(map(planes, columns))))
+            cell = cell[cuts].astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(cell // COUNT_PARTS), pa.array(cell % COUNT_PARTS), pa.array(blobs, pa.binary())], ["bucket", "part", "grams"])
+
+        held, size = [], 0
         for b in passes(batches, "text", PASS):
-            s = sets(b.column("text"), q)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s))], ["gram"])
+            held.append(np.concatenate(sets(b.column("text"), q)) >> (62 - COUNT_BITS))
+            size += len(held[-1])
+            if size >= most:
+                yield out(held)
+                held, size = [], 0
+        if size:
+            yield out(held)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        by_part: dict[tuple[int, int], list[bytes]] = {}
+        for b in batches:
+            for bucket, part, blob in zip(*(b.column(i).to_pylist() for i in range(3))):
+                by_part.setdefault((bucket, part), []).append(blob)
+        for key in sorted(by_part):
+            grams, counts = [], []
+            for blob in by_part.pop(key):
+                m = int.from_bytes(blob[:4], "little")
+                raw = unpack.decompress(blob[4:])
+                grams.append(np.cumsum(from_planes(raw, "<i8", m, 0)))
+                counts.append(from_planes(raw, "<u4", m, 8 * m).astype(np.int64))
+            gram, count = np.concatenate(grams), np.concatenate(counts)
+            order = np.argsort(gram)
+            gram, count = gram[order], count[order]
+            first = np.flatnonzero(np.diff(gram, prepend=-1))
+            gram, count = gram[first], np.add.reduceat(count, first)
+            often = count >= least
+            yield pa.RecordBatch.from_arrays([pa.array(gram[often]), pa.array(count[often])], ["gram", "n"])
+        release()
 
-    top = some.select("text").mapInArrow(run, "gram long").groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= SAMPLE_COUNT)
-    return np.sort(np.array([r["gram"] for r in top.orderBy(F.desc("n"), "gram").limit(FREQUENT).collect()], np.int64))
+    return docs.select("text").mapInArrow(summed, "bucket int, part int, grams binary").repartitionById(n, F.col("bucket")).mapInArrow(total, "gram long, n long")
+
+
+def _frequent(docs: DataFrame, q: int) -> np.ndarray:
+    """The first COUNT_BITS of the frequent shingles, at most FREQUENT of them; they only steer the order."""
+    top = _counts(docs, q, _often(docs.count())).orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram")
+    return np.sort(top.toArrow().column("gram").to_numpy())
 
 
 def _flips(each: list[np.ndarray]) -> np.ndarray:
@@ -113,7 +164,8 @@ def _prefixes(docs: DataFrame, q: int, of: int, in_: int) -> DataFrame:
             early: list[np.ndarray] = []
             for s in each:
                 if len(known):
-                    often = known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s
+                    top = s >> (62 - COUNT_BITS)
+                    often = known[np.minimum(np.searchsorted(known, top), len(known) - 1)] == top
                 else:
                     often = np.zeros(len(s), bool)
                 p = len(s) - -(-of * len(s) // in_) + 1 if len(s) else 0

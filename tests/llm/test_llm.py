@@ -524,6 +524,25 @@ def linked(rows, q=4, of=85, in_=100):
     return sorted(((d, len(sets[i]), None if least[find(i)] < -(1 << 62) else least[find(i)]) for i, (d, _) in enumerate(rows)), key=str)
 
 
+def test_frequent_shingles_are_counted_over_all_documents(spark):
+    """Each phrase is in as many documents as make it frequent, or in one less."""
+    rng = random.Random(8)
+    n = 6000
+    least = -(-3 * n // 4000)
+    phrases = [(f"p{i}", least - i % 2) for i in range(60)]
+    texts = [f"w{i}" for i in range(n)]
+    for name, times in phrases:
+        for i in rng.sample(range(n), times):
+            texts[i] += f" {name} one two three"
+    rows = spark.createDataFrame([(i, 0, t) for i, t in enumerate(texts)], "quarry__did long, quarry__hash long, text string")
+    whole = pa.array([f"{name} one two three" for name, times in phrases if times == least])
+    want = sorted({int(s[0]) >> 22 for s in jaccard.sets(whole, 4)})
+    for parts in (1, 5):
+        assert jaccard._frequent(rows.repartition(parts), 4).tolist() == want
+    held = jaccard._counts(rows.repartition(2), 4, least, most=100)
+    assert sorted((r["gram"], r["n"]) for r in held.collect()) == [(g, least) for g in want]
+
+
 def test_jaccard_against_brute_force(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(60)]
